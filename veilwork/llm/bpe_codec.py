@@ -5,7 +5,7 @@ and v stand depends on what follows only by way of rules of higher priority that
 (u, y) in v's place, or what takes v's or u's own right edge. `lookahead` bounds this over all rules in rank order. The
 longest token plus that bound is enough: a token boundary that far from the end of the buffer can't change any more, so
 the tokens before it are emitted and forgotten. Memory stays constant, however long a word is; ordinary words end
-within the buffer. Encodings of recent chunks (runs without white space) are kept in a memo of bounded size.
+within the buffer. Encodings of recent words are kept in a memo of bounded size.
 
 Decoding has two state machines: `joined` gives what the tokenizers library gives for a file without a decoder (tokens
 joined by one space), `BytesToText` turns byte-level tokens back to text, holding at most an unfinished character.
@@ -19,7 +19,8 @@ from __future__ import annotations
 import codecs
 import hashlib
 import json
-from collections.abc import Callable, Iterable, Iterator
+import re
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
 import regex
@@ -33,11 +34,15 @@ CHUNK = regex.compile("[^\\t-\\r \x85\xa0  -     　]+")
 #: The pre-tokenizer's pattern in the tokenizer file (fixed value).
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 SIMPLE = regex.compile(r"[\x21-\x7eÀ-ÖØ-öø-įı-ž]+")
+SIMPLE_TEXT = re.compile("[\\t-\\r -~À-ÖØ-öø-įı-ž]*")
+#: PIECES for lower-cased simple texts.
+SIMPLE_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ž]+|[0-9]|[^\\s0-9a-zß-öø-ž]+")
 END = "</w>"
+NONE = 1 << 30
 
 
 class Memo(dict):
-    """make(key), remembered for the last keys: at most twice `most` of them."""
+    """make(key), remembered for the last keys of up to 256 characters: at most twice `most` of them."""
 
     def __init__(self, make: Callable, most: int):
         super().__init__()
@@ -47,6 +52,8 @@ class Memo(dict):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
+        if len(key) > 256:
+            return value
         if len(self) >= self.most:
             self.old = dict(self)
             self.clear()
@@ -54,6 +61,13 @@ class Memo(dict):
         return value
 
 
+def simple_words(text: str) -> list[str] | None:
+    """The pre-tokenizer's pieces of a text of ASCII and Latin letters without special tokens; None for any other text."""
+    if "<|" in text or not SIMPLE_TEXT.fullmatch(text):
+        return None
+    return SIMPLE_PIECES.findall(text.lower())
+
+
 def chunks(text: str) -> list[str]:
     """Runs without the tokenizer's white space."""
     return CHUNK.findall(text) if SEPARATORS.search(text) else text.split()
@@ -84,7 +98,7 @@ def lookahead(rules: Iterable[tuple[str, str]], width: Callable[[str], int] = le
 class WordBpe:
     """A tokenizer file with word ends, encoded and decoded here; its normaliser is the library's."""
 
-    def __init__(self, path: str, memo: int = 200_000):
+    def __init__(self, path: str, memo: int = 400_000):
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as file:
@@ -103,19 +117,20 @@ class WordBpe:
         symbols = byte_symbols()
         self.inner, self.final = [self.vocab[x] for x in symbols], [self.vocab[x + END] for x in symbols]
         self.width = {i: width(t) for t, i in self.vocab.items()}
-        self.word = Memo(self._word, memo)
-        self.chunk = Memo(self._chunk, memo)
+        self.word = Memo(self._word, memo // 8)
+        self.told = Memo(lambda x: self._told(self._word(x)), memo)
+        self.chunk = Memo(lambda x: self._told(self.ids(x)), memo // 8)
 
     def _merge(self, ids: list[int]) -> list[int]:
-        get, none = self.rank.get, 1 << 30
+        get, none, made = self.rank.get, NONE, self.made
         ranks = [get((a << 17) | b, none) for a, b in zip(ids, ids[1:])]
         while ranks:
             low = min(ranks)
             if low == none:
                 break
             k = ranks.index(low)
-            ids[k : k + 2] = [self.made[low]]
-            del ranks[k]
+            ids[k] = made[low]
+            del ids[k + 1], ranks[k]
             if k:
                 ranks[k - 1] = get((ids[k - 1] << 17) | ids[k], none)
             if k < len(ranks):
@@ -158,20 +173,15 @@ class WordBpe:
                     out.extend(self.word[word] if len(word) < 64 else self._word(word))
         return out
 
-    def _chunk(self, chunk: str) -> tuple[int, str, str]:
-        ids = self.ids(chunk)
+    def _told(self, ids: Sequence[int]) -> tuple[int, str, str]:
         return len(ids), " ".join(map(str, ids)), " ".join([self.token[i] for i in ids])
 
     def encode(self, text: str) -> tuple[int, str, str]:
         """Number of tokens, ids joined by one space, and decoded text."""
-        runs = chunks(text)
-        if not runs:
+        words = simple_words(text)
+        found = list(map(self.told.__getitem__, words) if words is not None else map(self.chunk.__getitem__, chunks(text)))
+        if not found:
             return 0, "", ""
-        known = self.chunk
-        if len(max(runs, key=len)) > 256:  # long runs aren't kept
-            found = [known[x] if len(x) <= 256 else self._chunk(x) for x in runs]
-        else:
-            found = list(map(known.__getitem__, runs))
         counts, ids, tokens = zip(*found)
         return sum(counts), " ".join(ids), " ".join(tokens)
 

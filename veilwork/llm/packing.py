@@ -16,14 +16,14 @@ from __future__ import annotations
 
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from veilwork.llm.bpe_codec import Memo, WordBpe, chunks
+from veilwork.llm.bpe_codec import Memo, WordBpe, chunks, simple_words
 from veilwork.llm.common import documents
 
 PER_PARTITION = 36  # bits of a sequence id below the partition's number
@@ -89,15 +89,22 @@ class Packer:
                 self.next += used == room
 
 
-_loaded: dict[str, tuple[WordBpe, Memo]] = {}
+_loaded: dict[str, Callable[[str], bytes]] = {}
 
 
-def loaded(path: str) -> Memo:
-    """Chunk to its ids as 32-bit little-endian bytes; one memo per worker process."""
+def loaded(path: str) -> Callable[[str], bytes]:
+    """Text to its ids as 32-bit bytes, little-endian on the machines Spark runs on; one memo per worker process."""
     if path not in _loaded:
-        bpe = WordBpe(path, memo=250_000)
-        _loaded[path] = bpe, Memo(lambda chunk: np.array(bpe.ids(chunk), dtype="<u4").tobytes(), 400_000)
-    return _loaded[path][1]
+        bpe = WordBpe(path, memo=1000)
+        word = Memo(lambda x: array("I", bpe._word(x)).tobytes(), 600_000)
+        chunk = Memo(lambda x: array("I", bpe.ids(x)).tobytes(), 50_000)
+
+        def ids(text: str) -> bytes:
+            words = simple_words(text)
+            return b"".join(map(word.__getitem__, words) if words is not None else map(chunk.__getitem__, chunks(text)))
+
+        _loaded[path] = ids
+    return _loaded[path]
 
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -107,15 +114,11 @@ def pack(docs: DataFrame, path: str, size: int = 2048, end_id: int = 1, with_ids
     """One row per piece of a document; with_ids adds the piece's token ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, end = loaded(path), np.array([end_id], dtype="<u4").tobytes()
+        encode, end = loaded(path), np.array([end_id], dtype="<u4").tobytes()
         packer = Packer(size, TaskContext.get().partitionId() << PER_PARTITION)
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                runs = chunks(text.as_py() or "")
-                if runs and len(max(runs, key=len)) > 256:
-                    ids = b"".join([known[x] if len(x) <= 256 else known.make(x) for x in runs]) + end
-                else:
-                    ids = b"".join(map(known.__getitem__, runs)) + end
+                ids = encode(text.as_py() or "") + end
                 n = len(ids) // 4
                 full = n // size * size
                 doc = (doc_id, n)
