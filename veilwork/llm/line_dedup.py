@@ -31,10 +31,13 @@ def within(left: Column, right: Column, most: int = 1) -> Column:
 
     Bit b of a word is row j - most + b of column j, so the word moves down a row per column.
     """
+    chars = F.struct(F.split(left, "").alias("p"), F.split(right, "").alias("t"), F.char_length(left).alias("m"), F.char_length(right).alias("n"))
+    return F.element_at(F.transform(F.array(chars), lambda x: _banded(x["p"], x["t"], x["m"], x["n"], most)), 1)
+
+
+def _banded(p: Column, t: Column, m: Column, n: Column, most: int) -> Column:
     width = 2 * most + 1
     mask = (1 << width) - 1
-    p, t = F.split(left, ""), F.split(right, "")
-    m, n = F.char_length(left), F.char_length(right)
 
     def step(acc: Column, j: Column) -> Column:
         c = F.get(t, j - 1)
@@ -81,20 +84,35 @@ def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
 
 
 def _candidates(lines: DataFrame) -> DataFrame:
-    """a, b (line hashes, a < b) of lines that agree on all but a quarter, or are taken for such."""
+    """a, b, q (line hashes, a < b, and a quarter) of lines whose hashes agree on all but quarter q."""
     n = F.char_length("line")
-    keys = []
+    hashes, keys = {}, []
     for less in (0, 1):
-        size = n - less
+        at = [F.floor((n - less) * q / QUARTERS).cast("int") for q in range(QUARTERS + 1)]
+        for q in range(QUARTERS):  # each quarter, counted from the start (h) and from the end (t) of the line
+            hashes[f"h{less}{q}"] = F.xxhash64(F.substring(F.col("line"), at[q] + 1, at[q + 1] - at[q]))
+            hashes[f"t{less}{q}"] = F.xxhash64(F.substring(F.col("line"), at[q] + 1 + less, at[q + 1] - at[q])) if less else F.lit(0)
         for q in range(QUARTERS):
-            head, tail = F.floor(size * q / QUARTERS).cast("int"), (size - F.floor(size * (q + 1) / QUARTERS)).cast("int")
-            keys.append(F.struct(F.xxhash64(size, F.lit(q), F.substring(F.col("line"), F.lit(1), head), F.when(tail > 0, F.right("line", tail)).otherwise("")).alias("key"), F.lit(1 << less).alias("kind")))
-    rows = lines.select("h1", F.explode(F.array(*keys)).alias("k")).select("k.key", "h1", "k.kind").repartition("key")
+            rest = [F.col(f"h{less}{k}" if k < q or not less else f"t{less}{k}") for k in range(QUARTERS) if k != q]
+            key = F.xxhash64(F.col("size") - less, *rest).bitwiseAND(F.lit(-QUARTERS)).bitwiseOR(F.lit(q))
+            keys.append(F.struct(key.alias("key"), F.lit(1 << less).alias("kind")))
+    rows = lines.withColumns(hashes | {"size": n}).select("h1", F.explode(F.array(*keys)).alias("k")).select("k.key", "h1", "k.kind").repartition("key")
     once = rows.groupBy("key", "h1").agg(F.bit_or("kind").alias("kind"))
     shared = once.withColumn("n", F.count("*").over(Window.partitionBy("key"))).where("n > 1").drop("n").checkpoint()
     other = shared.select("key", F.col("h1").alias("b"), F.col("kind").alias("kind_b"))
     met = shared.withColumnRenamed("h1", "a").join(other, "key").where("a < b and (kind | kind_b) & 1 = 1")
-    return met.select("a", "b").distinct()
+    return met.select("a", "b", F.col("key").bitwiseAND(F.lit(QUARTERS - 1)).cast("int").alias("q")).distinct()
+
+
+def _near(a: Column, b: Column, q: Column) -> Column:
+    """Whether two lines agree on all but the shorter one's quarter q, and there within one edit."""
+    m, n = F.char_length(a), F.char_length(b)
+    size = F.least(m, n)
+    head = F.floor(size * q / QUARTERS).cast("int")
+    tail = (size - F.floor(size * (q + 1) / QUARTERS)).cast("int")
+    middle = [F.substring(x, head + 1, k - head - tail) for x, k in ((a, m), (b, n))]
+    ends = (F.substring(a, F.lit(1), head) == F.substring(b, F.lit(1), head)) & (F.substring(a, m - tail + 1, tail) == F.substring(b, n - tail + 1, tail))
+    return F.when(ends, within(*middle)).otherwise(F.lit(False))
 
 
 def dedup_lines(docs: DataFrame, carry: list[str] | None = None, min_chars: int = 24) -> DataFrame:
@@ -108,11 +126,13 @@ def dedup_lines(docs: DataFrame, carry: list[str] | None = None, min_chars: int
     pairs = _candidates(lines).checkpoint()
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct()
     places = firsts.join(wanted, "h1", "left_semi").groupBy(F.col("first.rid").alias("rid")).agg(F.collect_set(F.struct("h1", "h2", "first")).alias("wanted"))
-    texts = rows.join(places, "rid").select("text", F.explode("wanted").alias("w")).select("w.h1", "w.h2", "w.first", F.trim(F.get(F.split("text", "\n"), F.col("w.first.no"))).alias("line")).distinct()
+    # doc_id is compared, and so read, here too, so that this join and the last one use one exchange of the texts
+    same = F.coalesce("doc_id", F.lit(-1)) == F.coalesce("w.first.doc_id", F.lit(-1))
+    texts = rows.join(places, "rid").select("doc_id", "text", F.explode("wanted").alias("w")).where(same).select("w.h1", "w.h2", "w.first", F.trim(F.get(F.split("text", "\n"), F.col("w.first.no"))).alias("line")).distinct()
     left = texts.select(F.col("h1").alias("a"), F.col("first").alias("first_a"), F.col("line").alias("line_a"))
     right = texts.select(F.col("h1").alias("b"), F.col("h2").alias("b2"), F.col("first").alias("first_b"), F.col("line").alias("line_b"))
-    both = pairs.union(pairs.select("b", "a")).join(left, "a").join(right, "b").where("first_a < first_b")
-    near = both.where(within(F.col("line_a"), F.col("line_b"))).select(F.col("b").alias("h1"), F.col("b2").alias("h2"), F.lit(True).alias("near")).distinct()
+    both = pairs.union(pairs.select("b", "a", "q")).join(left, "a").join(right, "b").where("first_a < first_b")
+    near = both.where(_near(F.col("line_a"), F.col("line_b"), F.col("q"))).select(F.col("b").alias("h1"), F.col("b2").alias("h2"), F.lit(True).alias("near")).distinct()
     gone = firsts.join(near, ["h1", "h2"], "left").where("n > 1 or near")
     drops = lines.drop("line").join(gone, ["h1", "h2"]).where(F.coalesce("near", F.lit(False)) | (place != F.col("first")))
     drops = drops.groupBy("rid").agg(F.collect_set("no").alias("gone"))
