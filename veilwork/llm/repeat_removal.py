@@ -253,7 +253,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, carry: list[str] | None =
     names = rows.select("data", "r1").mapInArrow(_names(length), "h long, r1 long, c long").checkpoint()
     often = names.groupBy("h").agg(F.sum("c").alias("n")).where("n > 1").select("h")
     wanted = names.join(often, "h").groupBy("r1").agg(F.collect_set("h").alias("names"))
-    met = rows.join(wanted, "r1").sortWithinPartitions("r1", "r2").select("r1", "r2", "data", "names")
+    met = rows.join(wanted, "r1").sortWithinPartitions("r1", "r2").select("r1", "r2", "data", "names", "doc_id", *carry)  # the columns of the other join, so that both use one exchange
     stretches = met.mapInArrow(_stretches(length), "h long, r1 long, r2 long, starts array<long>, sure boolean, stretch binary")
     found = stretches.repartition("h").sortWithinPartitions("h").mapInArrow(_repeats(length), "r1 long, r2 long, low long, high long")
     ranges = found.groupBy("r1").agg(F.collect_list(F.struct("r2", "low", "high")).alias("ranges"))
