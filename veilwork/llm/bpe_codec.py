@@ -26,7 +26,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from veilwork.llm.common import documents
+from veilwork.llm.common import documents, text_batches
 
 #: Python's str.split() also splits at these four, which the tokenizer's white space lacks.
 SEPARATORS = regex.compile("[\x1c-\x1f]")
@@ -52,7 +52,7 @@ class Memo(dict):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
-        if len(key) > 256:
+        if isinstance(key, str) and len(key) > 256:
             return value
         if len(self) >= self.most:
             self.old = dict(self)
@@ -244,7 +244,7 @@ def encode_documents(docs: DataFrame, path: str, texts: bool = False) -> DataFra
                 names += ["ids", "decoded"]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return docs.selectExpr("cast(doc_id as bigint) as doc_id", "text").mapInArrow(run, SCHEMA + (", ids array<int>, decoded string" if texts else ""))
+    return text_batches(docs).selectExpr("cast(doc_id as bigint) as doc_id", "text").mapInArrow(run, SCHEMA + (", ids array<int>, decoded string" if texts else ""))
 
 
 def op4_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,11 +23,10 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 
 from veilwork.llm.bpe_codec import Memo
-from veilwork.llm.common import documents
+from veilwork.llm.common import documents, text_batches
 
 MARK = "▁"
 SEGMENTS = regex.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-LONG = 400
 
 
 class PrefixCounter:
@@ -40,13 +39,30 @@ class PrefixCounter:
         size = model.get_piece_size()
         usual = [i for i in range(size) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
         self.score = {model.id_to_piece(i): model.get_score(i) for i in usual}
-        self.longest = max(map(len, self.score))
-        self.pair = Memo(lambda ab: self._merge(ab[0] + ab[1]) == [ab[0], ab[1]], 200_000)
-        self.whole = Memo(lambda t: self._merge(t) == [t], 50_000)
-        self.total = Memo(lambda s: self.table(s)[0][-1], memo)
+        self.piece = list(self.score)
+        self.trie: dict = {}  # by character; under "" the piece's number
+        for k, piece in enumerate(self.piece):
+            node = self.trie
+            for c in piece:
+                node = node.setdefault(c, {})
+            node[""] = k
+        self.met = {x[k : k + 2] for x in self.piece for k in range(len(x) - 1)}  # characters that meet in a piece
+        self.line_feed = 1 if "\n" not in self.trie else None  # outside the vocabulary it is one byte, a segment of its own
+        self.pair = Memo(lambda ab: self._pair(ab >> 20, ab & 0xFFFFF), 300_000)
+        self.total = Memo(self._total, memo)
+
+    def _pair(self, a: int, b: int) -> bool:
+        """Whether two pieces stay a pair; a past the last piece: whether b stays whole."""
+        left = [self.piece[a]] if a < len(self.piece) else []
+        return self._merge("".join([*left, self.piece[b]])) == [*left, self.piece[b]]
+
+    def _total(self, segment: str) -> int:
+        if len(segment) > 1 and segment[-1] in ".," and segment[-2:] not in self.met:  # no token crosses there
+            return self.total[segment[:-1]] + self.total[segment[-1]]
+        return self.table(segment)[0][-1]
 
     def _merge(self, text: str) -> list[str]:
-        """Plain BPE: the best-scored pair, the leftmost of equals, until none is a piece. For short texts."""
+        """Plain BPE of a short text: the best-scored pair, the leftmost of equals, until none is a piece."""
         parts, score, none = list(text), self.score.get, float("-inf")
         while len(parts) > 1:
             best = max(ranks := [score(a + b, none) for a, b in zip(parts, parts[1:])])
@@ -56,21 +72,29 @@ class PrefixCounter:
             parts[k : k + 2] = [parts[k] + parts[k + 1]]
         return parts
 
-    def table(self, segment: str) -> tuple[list[int], list[str]]:
-        """Token count and last token of each prefix of a segment; entry 0 is the empty prefix."""
-        counts, last = [0], [""]
-        score, longest, pair, whole = self.score, self.longest, self.pair, self.whole
-        for end in range(1, len(segment) + 1):
-            for start in range(max(0, end - longest), end):
-                token = segment[start:end]
-                if token in score and (pair[last[start], token] if start and last[start] in score else whole[token]):
-                    counts.append(counts[start] + 1)
-                    last.append(token)
+    def table(self, segment: str) -> tuple[list[int], list[int]]:
+        """Token count and last piece of each prefix of a segment; entry 0 is the empty prefix, -1 a character in bytes."""
+        size, none, pair = len(segment), len(self.piece), self.pair
+        counts, last = [0] * (size + 1), [None] * (size + 1)
+        last[0] = -1
+        for start in range(size):
+            before = last[start]
+            if before is None:  # no piece ends here: a character outside the vocabulary, one token per byte
+                before = last[start] = -1
+                counts[start] = counts[start - 1] + len(segment[start - 1].encode())
+            before = (none if before < 0 else before) << 20
+            node, base = self.trie, counts[start] + 1
+            for end in range(start, size):
+                node = node.get(segment[end])
+                if node is None:
                     break
-            else:  # outside the vocabulary: one token per byte
-                token = segment[end - 1]
-                counts.append(counts[end - 1] + len(token.encode()))
-                last.append(token)
+                piece = node.get("")
+                if piece is not None and last[end + 1] is None and pair[before | piece]:
+                    last[end + 1] = piece
+                    counts[end + 1] = base
+        if size and last[size] is None:
+            last[size] = -1
+            counts[size] = counts[size - 1] + len(segment[-1].encode())
         return counts, last
 
     def segments(self, text: str) -> list[str]:
@@ -82,10 +106,13 @@ class PrefixCounter:
         return [MARK + x for x in text.split(" ")]
 
     def count(self, text: str) -> int:
-        parts = self.segments(text)
-        if parts and len(max(parts, key=len)) > LONG:
-            return sum(self.total[x] if len(x) <= LONG else self.table(x)[0][-1] for x in parts)
-        return sum(map(self.total.__getitem__, parts))
+        known = self.total
+        if self.line_feed and not (MARK in text or "  " in text or "\n " in text or " \n" in text or text[:1] in ("", " ", "\n") or text[-1] in " \n"):
+            lines = [line.split(" ") for line in text.split("\n")]  # a line's first word has no mark, but for the first line's
+            lines[0][0] = MARK + lines[0][0]
+            if "" not in lines[0]:
+                return len(lines) - 1 + sum(known[line[0]] if line[0] else 0 for line in lines) + sum(map(known.__getitem__, [MARK + x for line in lines for x in line[1:]]))
+        return sum(map(known.__getitem__, self.segments(text)))
 
     def prefixes(self, text: str) -> list[int]:
         """Token count of text[:k] for each k; a prefix that ends in the middle of a space run counts that run's part."""
@@ -102,13 +129,11 @@ class PrefixCounter:
         for part in self.segments(text):
             if base > budget:
                 break
-            counts = None
-            total = self.total[part] if len(part) <= LONG else (counts := self.table(part)[0])[-1]
+            total = self.total[part]
             if base + total <= budget:
                 best = at + len(part)
             else:
-                counts = counts or self.table(part)[0]
-                best = max([best, *(at + k for k, x in enumerate(counts) if base + x <= budget)])
+                best = max([best, *(at + k for k, x in enumerate(self.table(part)[0]) if base + x <= budget)])
             base, at = base + total, at + len(part)
         return max(best, 0)
 
@@ -140,7 +165,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 4096) -> DataFrame:
                 ["doc_id", "n_bytes", "n_tokens", "over_limit", "fit_chars"],
             )
 
-    return docs.selectExpr("cast(doc_id as bigint) as doc_id", "text").mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean, fit_chars long")
+    return text_batches(docs).selectExpr("cast(doc_id as bigint) as doc_id", "text").mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean, fit_chars long")
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
