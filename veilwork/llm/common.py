@@ -15,6 +15,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def text_batches(docs: DataFrame, rows: int = 1000) -> DataFrame:
+    """Whole texts go to Python in batches of at most so many rows, to keep both sides' buffers small."""
+    conf, key = docs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= rows:
+        conf.set(key, str(rows))
+    return docs
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Uses the folder the cluster names in spark.checkpoint.dir; a local one only where it is unset (tests)."""
     context = spark.sparkContext

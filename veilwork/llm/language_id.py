@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from veilwork.llm.common import documents
+from veilwork.llm.common import documents, text_batches
 
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
@@ -89,6 +89,7 @@ def _classifier(contents: dict[str, bytes]) -> Classifier:
 
 def classify(docs: DataFrame, contents: dict[str, bytes], carry: list[str], least_score: float = 0.3, keep_text: bool = False) -> DataFrame:
     """The carried columns of docs (with keep_text the text is one of them), and lang_pred, score, accepted. Null or letterless texts and narrow margins aren't accepted."""
+    docs = text_batches(docs)
     at = carry.index("text") if keep_text else len(carry)
     kept = docs.select(*carry) if keep_text else docs.select(*carry, F.col("text").alias("__text"))
     names = [*carry, "lang_pred", "score", "accepted"]

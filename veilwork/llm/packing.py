@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 from veilwork.llm.bpe_codec import Memo, WordBpe, chunks, simple_words
-from veilwork.llm.common import documents
+from veilwork.llm.common import documents, text_batches
 
 PER_PARTITION = 36  # bits of a sequence id below the partition's number
 
@@ -96,8 +96,8 @@ def loaded(path: str) -> Callable[[str], bytes]:
     """Text to its ids as 32-bit bytes, little-endian on the machines Spark runs on; one memo per worker process."""
     if path not in _loaded:
         bpe = WordBpe(path, memo=1000)
-        word = Memo(lambda x: array("I", bpe._word(x)).tobytes(), 600_000)
-        chunk = Memo(lambda x: array("I", bpe.ids(x)).tobytes(), 50_000)
+        word = Memo(lambda x: array("I", bpe._word(x)).tobytes(), 400_000)
+        chunk = Memo(lambda x: array("I", bpe.ids(x)).tobytes(), 20_000)
 
         def ids(text: str) -> bytes:
             words = simple_words(text)
@@ -148,7 +148,7 @@ def pack(docs: DataFrame, path: str, size: int = 2048, end_id: int = 1, with_ids
             names.append("ids")
         return pa.RecordBatch.from_arrays(columns, names)
 
-    return docs.selectExpr("cast(doc_id as bigint) as doc_id", "text").mapInArrow(run, SCHEMA + (", ids array<int>" if with_ids else ""))
+    return text_batches(docs).selectExpr("cast(doc_id as bigint) as doc_id", "text").mapInArrow(run, SCHEMA + (", ids array<int>" if with_ids else ""))
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

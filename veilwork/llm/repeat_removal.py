@@ -30,10 +30,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilwork.llm.common import blocks, documents, ensure_checkpoint_dir
+from veilwork.llm.common import blocks, documents, ensure_checkpoint_dir, text_batches
 
 GRAM = 32
-PIECE = 1 << 20
+PIECE = 1 << 19
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 MIX = np.uint64(0xFF51AFD7ED558CCD)
 HIGH = np.uint64(0xFFFFFFFF00000000)
@@ -249,7 +249,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, carry: list[str] | None =
         raise ValueError(f"length must be at least {2 * GRAM}")
     carry = [c for c in carry or [] if c not in ("doc_id", "text")]
     data = F.coalesce("text", F.lit("")).cast("binary")
-    rows = docs.select("doc_id", data.alias("data"), *carry).withColumns({"r1": F.xxhash64("data"), "r2": F.xxhash64(F.lit(5), "data")})
+    rows = text_batches(docs).select("doc_id", data.alias("data"), *carry).withColumns({"r1": F.xxhash64("data"), "r2": F.xxhash64(F.lit(5), "data")})
     names = rows.select("data", "r1").mapInArrow(_names(length), "h long, r1 long, c long").checkpoint()
     often = names.groupBy("h").agg(F.sum("c").alias("n")).where("n > 1").select("h")
     wanted = names.join(often, "h").groupBy("r1").agg(F.collect_set("h").alias("names"))

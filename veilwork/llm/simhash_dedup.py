@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilwork.llm.common import blocks, components, documents, ensure_checkpoint_dir, forest
+from veilwork.llm.common import blocks, components, documents, ensure_checkpoint_dir, forest, text_batches
 
 SEED = 42
 LEAST_SHARED = 4
@@ -77,7 +77,7 @@ def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
             found = np.array([fingerprint(x.as_py(), shingle) for x in batch.column(1)], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64), pa.int64())], ["doc_id", "fp"])
 
-    return docs.selectExpr("cast(doc_id as bigint) as doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    return text_batches(docs).selectExpr("cast(doc_id as bigint) as doc_id", "text").mapInArrow(run, "doc_id long, fp long")
 
 
 def near(a: np.ndarray, b: np.ndarray, most_bits: int) -> np.ndarray:

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from veilwork.llm.common import documents
+from veilwork.llm.common import documents, text_batches
 
 RATE, WIDE = 8000, 16000
 PCM, ALAW, MULAW, IMA = 1, 6, 7, 17
@@ -207,7 +207,7 @@ def media_columns(docs: DataFrame, media: bool = False, batch_bytes: int = 4 <<
         if held:
             yield rows(held)
 
-    return docs.selectExpr("cast(doc_id as bigint) as doc_id", "text").mapInArrow(run, SCHEMA + (", media binary, pcm binary" if media else ""))
+    return text_batches(docs).selectExpr("cast(doc_id as bigint) as doc_id", "text").mapInArrow(run, SCHEMA + (", media binary, pcm binary" if media else ""))
 
 
 def op7_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
