@@ -13,6 +13,7 @@ SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.python.filterPushdown.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
