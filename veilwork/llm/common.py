@@ -30,6 +30,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="veilwork-"))
 
 
+def small_checkpoint(df: DataFrame) -> DataFrame:
+    """A reliable checkpoint of what an exchange has made much smaller, in a quarter of the shuffle partitions."""
+    return df.coalesce(max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)).checkpoint()
+
+
 def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The smallest member of each of n items' component under the links a[i]-b[i]."""
     root = np.arange(n, dtype=np.int64)
@@ -67,10 +72,11 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     def state(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
 
-    now = down(edges.select(F.col(a).alias("u"), F.col(b).alias("v")).na.drop()).checkpoint()
+    now = small_checkpoint(down(edges.select(F.col(a).alias("u"), F.col(b).alias("v")).na.drop()))
     before = state(now)
     while before[0]:
-        now = star(star(now, True), False).checkpoint()
+        # a round never has more links than the one before, so its files can be as many as its rows need
+        now = star(star(now, True), False).coalesce(1 + before[0] // 100_000).checkpoint()
         after = state(now)
         if after == before:
             break

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from veilwork.llm.common import documents, ensure_checkpoint_dir
+from veilwork.llm.common import documents, ensure_checkpoint_dir, small_checkpoint
 
 QUARTERS = 4
 
@@ -98,7 +98,8 @@ def _candidates(lines: DataFrame) -> DataFrame:
             keys.append(F.struct(key.alias("key"), F.lit(1 << less).alias("kind")))
     rows = lines.withColumns(hashes | {"size": n}).select("h1", F.explode(F.array(*keys)).alias("k")).select("k.key", "h1", "k.kind").repartition("key")
     once = rows.groupBy("key", "h1").agg(F.bit_or("kind").alias("kind"))
-    shared = once.withColumn("n", F.count("*").over(Window.partitionBy("key"))).where("n > 1").drop("n").checkpoint()
+    shared = once.withColumn("n", F.count("*").over(Window.partitionBy("key"))).where("n > 1").drop("n")
+    shared = shared.checkpoint()
     other = shared.select("key", F.col("h1").alias("b"), F.col("kind").alias("kind_b"))
     met = shared.withColumnRenamed("h1", "a").join(other, "key").where("a < b and (kind | kind_b) & 1 = 1")
     return met.select("a", "b", F.col("key").bitwiseAND(F.lit(QUARTERS - 1)).cast("int").alias("q")).distinct()
@@ -123,7 +124,7 @@ def dedup_lines(docs: DataFrame, carry: list[str] | None = None, min_chars: int
     lines = _lines(rows, min_chars)
     place = F.struct("doc_id", "rid", "no")
     firsts = lines.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-    pairs = _candidates(lines).checkpoint()
+    pairs = small_checkpoint(_candidates(lines))
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct()
     places = firsts.join(wanted, "h1", "left_semi").groupBy(F.col("first.rid").alias("rid")).agg(F.collect_set(F.struct("h1", "h2", "first")).alias("wanted"))
     # doc_id is compared, and so read, here too, so that this join and the last one use one exchange of the texts
