@@ -49,38 +49,52 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             root = root[root]
 
 
-def components(edges: DataFrame, a: str, b: str) -> DataFrame:
+def contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's links u-v as links of each node to its component's smallest node."""
+    links = [(x.column(0).to_numpy(), x.column(1).to_numpy()) for x in batches]
+    if links:
+        u, v = (np.concatenate(x) for x in zip(*links))
+        nodes, place = np.unique(np.concatenate([u, v]), return_inverse=True)
+        root = forest(len(nodes), place[: len(u)], place[len(u) :])
+        other = root != np.arange(len(nodes))
+        yield pa.RecordBatch.from_arrays([pa.array(nodes[other]), pa.array(nodes[root[other]])], ["u", "v"])
+
+
+def components(edges: DataFrame, a: str, b: str, per_task: int = 500_000) -> DataFrame:
     """Connected components of the links a-b: (node, component), the component being its smallest node.
 
-    Alternating large-star and small-star rounds on distributed frames, each cut by a reliable checkpoint. Every
-    round's minimum per node is a combinable aggregate, and the joins are plain equi-joins, so a node of very high
-    degree is pre-aggregated or split by adaptive execution. Nodes without a link are absent; nulls are ignored.
+    Rounds of a large star, a small star and a contraction, each cut by a reliable checkpoint, until nothing changes.
+    The contraction gives each task about `per_task` links and returns at most as many; where one task holds all of
+    them, they are done. Each round's minimum per node is a combinable aggregate, and the joins are plain equi-joins,
+    so a node of very high degree is pre-aggregated or split by adaptive execution. Nodes without a link are absent;
+    nulls are ignored.
     """
-    spark = edges.sparkSession
-    ensure_checkpoint_dir(spark)
+    ensure_checkpoint_dir(edges.sparkSession)
 
-    def down(df: DataFrame) -> DataFrame:
-        return df.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct()
+    def tidy(df: DataFrame) -> DataFrame:
+        return df.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v")
 
     def star(df: DataFrame, large: bool) -> DataFrame:
         rows = df.union(df.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else df
         low = rows.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         met = rows.join(low, "u")
-        moved = met.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")) if large else met.select(F.col("v").alias("u"), F.col("m").alias("v"))
-        return down(moved if large else moved.union(low.select("u", F.col("m").alias("v"))))
+        if large:
+            return tidy(met.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")))
+        return tidy(met.select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v"))))
 
     def state(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
 
-    now = small_checkpoint(down(edges.select(F.col(a).alias("u"), F.col(b).alias("v")).na.drop()))
-    before = state(now)
-    while before[0]:
-        # a round never has more links than the one before, so its files can be as many as its rows need
-        now = star(star(now, True), False).coalesce(1 + before[0] // 100_000).checkpoint()
-        after = state(now)
-        if after == before:
-            break
-        before = after
+    def contracted(df: DataFrame, rows: int) -> DataFrame:
+        return df.coalesce(1 + rows // per_task).mapInArrow(contract, "u long, v long").checkpoint()
+
+    first = small_checkpoint(tidy(edges.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).na.drop()))
+    rows = first.count()
+    now = contracted(first, rows)
+    before = None
+    while rows >= per_task and (after := state(now)) != before:
+        before, rows = after, after[0]
+        now = contracted(star(star(now, True), False).distinct(), rows)
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select("v", "v").distinct())
 
 
