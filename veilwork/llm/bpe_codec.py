@@ -26,7 +26,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from veilwork.llm.common import documents, text_batches
+from veilwork.llm.common import documents, kept, text_batches
 
 #: Python's str.split() also splits at these four, which the tokenizer's white space lacks.
 SEPARATORS = regex.compile("[\x1c-\x1f]")
@@ -208,14 +208,9 @@ class BytesToText:
         return self.decoder.decode(b"", True)
 
 
-_loaded: dict[str, WordBpe] = {}
-
-
 def loaded(path: str) -> WordBpe:
     """One per worker process."""
-    if path not in _loaded:
-        _loaded[path] = WordBpe(path)
-    return _loaded[path]
+    return kept(("bpe", path), lambda: WordBpe(path))
 
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +15,17 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+_kept: dict = {}
+
+
+def kept(key: tuple, make: Callable):
+    """make(), kept in this worker process until something else is: a worker holds one operator's tables at a time."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
 def text_batches(docs: DataFrame, rows: int = 1000) -> DataFrame:
     """Whole texts go to Python in batches of at most so many rows, to keep both sides' buffers small."""
     conf, key = docs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from veilwork.llm.common import documents, text_batches
+from veilwork.llm.common import documents, kept, text_batches
 
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
@@ -76,33 +76,23 @@ class Classifier:
         return self.names[sizes.index(best)], 1 / sum(math.exp(-min(WEIGHT * (x - best), 700)) for x in sizes)
 
 
-_loaded: dict[int, Classifier] = {}
-
-
-def _classifier(contents: dict[str, bytes]) -> Classifier:
-    key = hash(tuple(sorted(contents.items())))
-    if key not in _loaded:
-        _loaded.clear()
-        _loaded[key] = Classifier(contents)
-    return _loaded[key]
-
-
 def classify(docs: DataFrame, contents: dict[str, bytes], carry: list[str], least_score: float = 0.3, keep_text: bool = False) -> DataFrame:
     """The carried columns of docs (with keep_text the text is one of them), and lang_pred, score, accepted. Null or letterless texts and narrow margins aren't accepted."""
     docs = text_batches(docs)
+    key = hash(tuple(sorted(contents.items())))
     at = carry.index("text") if keep_text else len(carry)
-    kept = docs.select(*carry) if keep_text else docs.select(*carry, F.col("text").alias("__text"))
+    rows = docs.select(*carry) if keep_text else docs.select(*carry, F.col("text").alias("__text"))
     names = [*carry, "lang_pred", "score", "accepted"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[: len(carry)])
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[: len(carry)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = _classifier(contents)
+        model = kept(("language", key), lambda: Classifier(contents))
         for batch in batches:
             found = [model.predict(x.as_py()) for x in batch.column(at)]
             added = [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64()), pa.array([x[0] != UNKNOWN and x[1] >= least_score for x in found], pa.bool_())]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(carry)], *added], names)
 
-    return kept.mapInArrow(run, f"{schema}, lang_pred string, score double, accepted boolean")
+    return rows.mapInArrow(run, f"{schema}, lang_pred string, score double, accepted boolean")
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

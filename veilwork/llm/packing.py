@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 from veilwork.llm.bpe_codec import Memo, WordBpe, chunks, simple_words
-from veilwork.llm.common import documents, text_batches
+from veilwork.llm.common import documents, kept, text_batches
 
 PER_PARTITION = 36  # bits of a sequence id below the partition's number
 
@@ -89,22 +89,21 @@ class Packer:
                 self.next += used == room
 
 
-_loaded: dict[str, Callable[[str], bytes]] = {}
+def encoder(path: str) -> Callable[[str], bytes]:
+    """Text to its ids as 32-bit bytes, little-endian on the machines Spark runs on."""
+    bpe = WordBpe(path, memo=1000)
+    word = Memo(lambda x: array("I", bpe._word(x)).tobytes(), 300_000)
+    chunk = Memo(lambda x: array("I", bpe.ids(x)).tobytes(), 20_000)
+
+    def ids(text: str) -> bytes:
+        words = simple_words(text)
+        return b"".join(map(word.__getitem__, words) if words is not None else map(chunk.__getitem__, chunks(text)))
+
+    return ids
 
 
 def loaded(path: str) -> Callable[[str], bytes]:
-    """Text to its ids as 32-bit bytes, little-endian on the machines Spark runs on; one memo per worker process."""
-    if path not in _loaded:
-        bpe = WordBpe(path, memo=1000)
-        word = Memo(lambda x: array("I", bpe._word(x)).tobytes(), 400_000)
-        chunk = Memo(lambda x: array("I", bpe.ids(x)).tobytes(), 20_000)
-
-        def ids(text: str) -> bytes:
-            words = simple_words(text)
-            return b"".join(map(word.__getitem__, words) if words is not None else map(chunk.__getitem__, chunks(text)))
-
-        _loaded[path] = ids
-    return _loaded[path]
+    return kept(("packing", path), lambda: encoder(path))
 
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"

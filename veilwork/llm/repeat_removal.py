@@ -30,27 +30,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilwork.llm.common import blocks, documents, ensure_checkpoint_dir, text_batches
+from veilwork.llm.common import blocks, documents, ensure_checkpoint_dir, kept, text_batches
 
 GRAM = 32
-PIECE = 1 << 19
+PIECE = 1 << 18
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 MIX = np.uint64(0xFF51AFD7ED558CCD)
 HIGH = np.uint64(0xFFFFFFFF00000000)
 LOW = np.uint64(0xFFFFFFFF)
 
-_powers: dict[tuple[int, int], np.ndarray] = {}
-
-
 def powers(base: int, n: int, inverse: bool) -> np.ndarray:
     """base**0 .. base**(n-1) or of its inverse, modulo 2**64."""
     step = pow(base, -1, 1 << 64) if inverse else base
-    known = _powers.get((base, inverse))
-    if known is None or len(known) < n:
+    tables = kept(("powers",), dict)
+    if len(tables.get((base, inverse), ())) < n:
         row = np.full(max(n, 1 << 16), step, np.uint64)
         row[0] = 1
-        known = _powers[base, inverse] = np.multiply.accumulate(row)
-    return known[:n]
+        tables[base, inverse] = np.multiply.accumulate(row)
+    return tables[base, inverse][:n]
 
 
 def string_hashes(data: np.ndarray, length: int, base: int = BASES[0]) -> np.ndarray:
@@ -202,7 +199,7 @@ def equal_neighbours(data: np.ndarray, places: np.ndarray, length: int) -> np.nd
 
 def _repeats(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in blocks(batches, "h", 6_000):
+        for table in blocks(batches, "h", 3_000):
             parts = table.column("stretch").to_pylist()
             sizes = np.array([len(x) for x in parts], np.int64)
             start = np.cumsum(sizes) - sizes

@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 
 from veilwork.llm.bpe_codec import Memo
-from veilwork.llm.common import documents, text_batches
+from veilwork.llm.common import documents, kept, text_batches
 
 MARK = "▁"
 SEGMENTS = regex.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
@@ -138,13 +138,8 @@ class PrefixCounter:
         return max(best, 0)
 
 
-_loaded: dict[str, PrefixCounter] = {}
-
-
 def loaded(path: str) -> PrefixCounter:
-    if path not in _loaded:
-        _loaded[path] = PrefixCounter(path)
-    return _loaded[path]
+    return kept(("counts", path), lambda: PrefixCounter(path))
 
 
 def count_tokens(docs: DataFrame, path: str, limit: int = 4096) -> DataFrame:
