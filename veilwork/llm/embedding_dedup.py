@@ -107,3 +107,19 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, tile: int = 204
 
 def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+#: The same rows without the operator: links within a label as a self-join, components as a recursive closure of the links.
+OP1_SQL = """
+with recursive r as (select distinct vec_id, embedding, label from embeddings),
+v as (
+  select vec_id, label, list_transform(embedding, lambda x: x::double) as e from r
+  where vec_id is not null and label is not null and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x))) and list_bool_or(list_transform(embedding, lambda x: x <> 0))
+),
+p as (select a.vec_id as a, b.vec_id as b from v as a join v as b on a.label = b.label and len(a.e) = len(b.e) and a.vec_id <> b.vec_id where list_cosine_similarity(a.e, b.e) >= 0.98),
+reach as (select a, b from p union select reach.a, p.b from reach join p on reach.b = p.a),
+n as (select a, count(*) as n_links from p group by a),
+c as (select a, min(b) as low from reach group by a)
+select vec_id, coalesce(n_links, 0)::bigint as n_links, coalesce(least(low, vec_id), vec_id) as component_id, coalesce(least(low, vec_id), vec_id) is not distinct from vec_id as kept, label
+from r left join n on n.a = vec_id left join c on c.a = vec_id
+"""

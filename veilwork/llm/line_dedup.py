@@ -146,3 +146,28 @@ def dedup_lines(docs: DataFrame, carry: list[str] | None = None, min_chars: int
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = dedup_lines(documents(spark, sf_dir))
     return found.select("doc_id", "n_lines", "n_removed", F.char_length("text").cast("long").alias("kept_chars"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+#: The same rows without the operator: lines of one half in common are joined and compared character by character.
+OP3_SQL = """
+with d as (select row_number() over () as r, doc_id, text, string_split(text, chr(10)) as parts from documents),
+l as (select r, unnest(range(1, len(parts) + 1)) as no, trim(unnest(parts), ' ') as line, doc_id from d),
+w as (select *, {'late': doc_id is not null, 'id': coalesce(doc_id, 0), 'no': no} as place from l where length(line) >= 24),
+f as (select line, length(line) as n, min(place) as place from w group by line),
+halves as (
+  select line, n, place, less, (n - less) // 2 as h, n - less as m from f, (values (0), (1)) as x(less)
+),
+k as (
+  select line, n, place, less, m, 'head' as side, left(line, h) as part from halves
+  union all select line, n, place, less, m, 'tail', right(line, m - h) from halves
+),
+near as (
+  select distinct unnest(case when a.place < b.place then [b.line] else [a.line] end) as line from k as a join k as b on a.less = 0 and a.m = b.m and a.side = b.side and a.part = b.part and (b.less = 1 or a.line < b.line)
+  where case when a.n = b.n then list_sum(list_transform(range(1, a.n + 1), lambda i: (a.line[i] <> b.line[i])::int)) <= 1
+    else list_bool_or(list_transform(range(0, a.n + 1), lambda i: left(b.line, i) || substr(b.line, i + 2) = a.line)) end
+),
+gone as (select w.r, w.no from w join f using (line) left join near on near.line = w.line where near.line is not null or w.place <> f.place),
+g as (select r, list(no) as nos from gone group by r),
+t as (select d.doc_id, parts, nos, case when nos is null then text else array_to_string(list_transform(list_filter(range(1, len(parts) + 1), lambda i: not list_contains(nos, i)), lambda i: parts[i]), chr(10)) end as kept from d left join g on g.r = d.r)
+select doc_id, coalesce(len(parts), 0)::bigint as n_lines, coalesce(len(nos), 0)::bigint as n_removed, length(kept)::bigint as kept_chars, sha256(coalesce(kept, '')) as kept_sha256 from t
+"""

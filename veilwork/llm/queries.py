@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from veilwork.llm.bpe_codec import op4_bpe_encoding
 from veilwork.llm.chat_format import OP2_SQL, op2_chat_formatting
-from veilwork.llm.embedding_dedup import op1_embedding_near_dedup
+from veilwork.llm.embedding_dedup import OP1_SQL, op1_embedding_near_dedup
 from veilwork.llm.language_id import op10_language_id
-from veilwork.llm.line_dedup import op3_line_dedup
+from veilwork.llm.line_dedup import OP3_SQL, op3_line_dedup
 from veilwork.llm.packing import op9_packing
-from veilwork.llm.repeat_removal import op8_suffix_array_dedup
+from veilwork.llm.repeat_removal import OP8_SQL, op8_suffix_array_dedup
 from veilwork.llm.simhash_dedup import op5_simhash_near_dedup
 from veilwork.llm.telephony_audio import op7_media_columns
 from veilwork.llm.token_counts import op6_token_counts
@@ -21,4 +21,4 @@ QUERIES = {
     )
 }
 
-SQL = {"op2_chat_formatting": OP2_SQL}
+SQL = {"op1_embedding_near_dedup": OP1_SQL, "op2_chat_formatting": OP2_SQL, "op3_line_dedup": OP3_SQL, "op8_suffix_array_dedup": OP8_SQL}

@@ -278,3 +278,19 @@ def remove_repeats(docs: DataFrame, length: int = 200, carry: list[str] | None =
 
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(documents(spark, sf_dir), with_text=False)
+
+
+#: The same rows without the operator: every 200-byte window is listed by its MD5 and counted; runs of repeated windows are merged and cut.
+OP8_SQL = """
+with d as (select row_number() over () as r, doc_id, encode(coalesce(text, '')) as b from documents),
+w as (select r, pos, md5(b[pos + 1 : pos + 200]) as m from (select r, b, unnest(range(0, octet_length(b) - 199)) as pos from d)),
+again as (select m from w group by m having count(*) > 1),
+hit as (select r, pos, lag(pos) over (partition by r order by pos) as before from w where m in (select m from again)),
+run as (select r, pos, sum((before is null or pos > before + 200)::int) over (partition by r order by pos) as k from hit),
+span as (select r, min(pos) as low, max(pos) + 200 as high from run group by r, k),
+gap as (select r, low, high, coalesce(lag(high) over (partition by r order by low), 0) as open from span),
+cut as (select r, list({'a': open + 1, 'z': low} order by low) as gaps, max(high) as last, sum(high - low) as n_removed, count(*) as n_spans from gap group by r),
+t as (select doc_id, b, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0)::bigint as n_spans,
+  case when gaps is null then b else unhex(array_to_string(list_transform(gaps, lambda x: case when x.z < x.a then '' else hex(b[x.a : x.z]) end), '') || case when last < octet_length(b) then hex(b[last + 1 : octet_length(b)]) else '' end) end as kept from d left join cut on cut.r = d.r)
+select doc_id, octet_length(b)::bigint as n_bytes, n_removed, n_spans, sha256(kept) as kept_sha256 from t
+"""
