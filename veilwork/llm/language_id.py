@@ -6,7 +6,7 @@ winner's posterior when each byte saved counts `WEIGHT` nats; a text whose score
 
 The dictionaries are fitted on a bounded sample: at most `rows_per_language` labelled rows of each of the at most
 `most_languages` most frequent languages (ties by name), the rows whose hash of doc_id is smallest, and at most
-`dictionary_bytes` of their text. Whole texts are classified.
+`dictionary_bytes` of their text, `most_chars` of each row. Whole texts are classified.
 
 Cases: a null text, or one without a letter, is "und" with score 0 and rejected. With no labelled row every text is
 "und". Rows without doc_id, lang or text train nothing. Equal texts get equal results, each row its own. lang, source
@@ -37,7 +37,7 @@ def remainder(doc_id: str = "doc_id", parts: int = 4):
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % parts
 
 
-def fit(docs: DataFrame, held_out: int = 2, rows_per_language: int = 240, most_languages: int = 200, dictionary_bytes: int = 96_000) -> dict[str, bytes]:
+def fit(docs: DataFrame, held_out: int = 2, rows_per_language: int = 240, most_languages: int = 200, dictionary_bytes: int = 96_000, most_chars: int = 4000) -> dict[str, bytes]:
     """Raw dictionary contents by language, from rows whose crc32(doc_id) mod 4 is not `held_out`. All bounds are parameters."""
     known = docs.where("doc_id is not null and lang is not null and text is not null").where(remainder() != held_out)
     names = [r["lang"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect()]
@@ -46,7 +46,7 @@ def fit(docs: DataFrame, held_out: int = 2, rows_per_language: int = 240, most_l
     first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     ids = known.where(F.col("lang").isin(names)).select("lang", "doc_id").withColumn("k", F.row_number().over(first)).where(F.col("k") <= rows_per_language)
     chosen = sorted({r["doc_id"] for r in ids.select("doc_id").collect()})
-    rows = known.where(F.col("doc_id").isin(chosen) & F.col("lang").isin(names)).select("lang", "doc_id", F.lower(F.substring("text", 1, 4000)).alias("text"))
+    rows = known.where(F.col("doc_id").isin(chosen) & F.col("lang").isin(names)).select("lang", "doc_id", F.lower(F.substring("text", 1, most_chars)).alias("text"))
     out: dict[str, list[bytes]] = {}
     for lang, _, text in sorted((tuple(r) for r in rows.collect()), key=lambda r: (r[0], r[1], r[2])):
         out.setdefault(lang, []).append(text.encode())
