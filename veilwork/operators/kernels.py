@@ -98,3 +98,47 @@ def png(pixels: np.ndarray) -> bytes:
     rows = np.concatenate([np.zeros((h, 1), np.uint8), pixels.reshape(h, -1).astype(np.uint8)], axis=1)
     part = lambda name, data: struct.pack(">I", len(data)) + name + data + struct.pack(">I", zlib.crc32(name + data))
     return b"\x89PNG\r\n\x1a\n" + part(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, kind, 0, 0, 0)) + part(b"IDAT", zlib.compress(rows.tobytes())) + part(b"IEND", b"")
+
+
+def unpng(data: bytes) -> np.ndarray:
+    """Pixels of an 8-bit gray, RGB or RGBA PNG without interlace."""
+    if data[:8] != b"\x89PNG\r\n\x1a\n":
+        raise ValueError("not a PNG")
+    at, parts = 8, []
+    while at < len(data):
+        size, name = struct.unpack(">I4s", data[at : at + 8])
+        if name == b"IHDR":
+            w, h, depth, kind, _, _, interlace = struct.unpack(">IIBBBBB", data[at + 8 : at + 8 + size])
+        elif name == b"IDAT":
+            parts.append(data[at + 8 : at + 8 + size])
+        at += size + 12
+    if depth != 8 or interlace or kind not in (0, 2, 6):
+        raise ValueError("only 8-bit gray, RGB and RGBA without interlace")
+    n = {0: 1, 2: 3, 6: 4}[kind]
+    rows = np.frombuffer(zlib.decompress(b"".join(parts)), np.uint8).reshape(h, 1 + w * n)
+    out, above = np.empty((h, w, n), np.uint8), np.zeros((w, n), np.uint8)
+    for y in range(h):
+        line = rows[y, 1:].reshape(w, n)
+        above = out[y] = _unfiltered(int(rows[y, 0]), line, above)
+    return out[:, :, 0] if n == 1 else out
+
+
+def _unfiltered(kind: int, line: np.ndarray, above: np.ndarray) -> np.ndarray:
+    """A row without its filter: none, sub and up at once, average and Paeth pixel by pixel."""
+    if kind == 0:
+        return line
+    if kind == 1:
+        return np.cumsum(line, axis=0, dtype=np.uint8)
+    if kind == 2:
+        return line + above
+    out, left, corner = np.empty_like(line), np.zeros(line.shape[1], int), np.zeros(line.shape[1], int)
+    for x in range(len(line)):
+        up = above[x].astype(int)
+        if kind == 3:
+            guess = (left + up) >> 1
+        else:
+            a, b, c = abs(up - corner), abs(left - corner), abs(left + up - 2 * corner)
+            guess = np.where((a <= b) & (a <= c), left, np.where(b <= c, up, corner))
+        left = (line[x] + guess) & 255
+        out[x], corner = left, up
+    return out

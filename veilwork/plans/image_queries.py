@@ -63,9 +63,9 @@ def _compose_sql(i: str, z: str, h: str, tau: str = "{}") -> str:
     return f"select key, filename, floor(least(greatest({SRGB.format('o')}, 0), 1) * 255 + 0.5)::bigint as u8 from (select key, filename, {out} as o from (select *, least(greatest({i}, 0), 1) as i, {t} as tt from px cross join ({RESOLVED}) cfg))"
 
 
-@query("with px as (select row_number() over () as key0, l_orderkey * 10 + l_linenumber as key, l_tax * 10 as pi, l_discount * 10 as pz, l_linenumber as py from lineitem where l_orderkey < 2000) " + _compose_sql("pi", "pz", "hmax * (1 - py / 7.0::double)"))
+@query("with px as (select l_orderkey * 10 + l_linenumber as key, l_tax * 10 as pi, l_discount * 10 as pz, l_linenumber as py from lineitem) " + _compose_sql("pi", "pz", "hmax * (1 - py / 7.0::double)"))
 def atmosphere_pixels(table, spark):
-    px = table("lineitem").where("l_orderkey < 2000").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("key"), (F.col("l_tax") * 10).alias("i"), (F.col("l_discount") * 10).alias("z"), "l_linenumber")
+    px = table("lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("key"), (F.col("l_tax") * 10).alias("i"), (F.col("l_discount") * 10).alias("z"), "l_linenumber")
     every = px.crossJoin(F.broadcast(at.resolved(spark)))
     return every.select("key", "filename", at.compose(F.col("i"), F.col("z"), at.height(F.col("l_linenumber"), F.lit(8.0), F.col("hmax")), 0).alias("u8"))
 

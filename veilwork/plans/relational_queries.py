@@ -208,10 +208,10 @@ def distinct_names(table, spark):
     return table("lineitem").select(F.col("l_suppkey").alias("id")).union(table("supplier").select("s_suppkey")).distinct()
 
 
-@query("select p_partkey, 'png' as kind from part where p_size % 2 = 0 union all select p_partkey, 'jpg' from part where p_size % 3 = 0")
+@query("select p_partkey, 'png' as kind from part where p_type in ('PROMO', 'LARGE') union all select p_partkey, 'jpg' from part where p_type in ('PROMO', 'SMALL')")
 def union_listing(table, spark):
     p = table("part")
-    return p.where("p_size % 2 = 0").select("p_partkey", F.lit("png").alias("kind")).unionByName(p.where("p_size % 3 = 0").select("p_partkey", F.lit("jpg").alias("kind")))
+    return p.where("p_type in ('PROMO', 'LARGE')").select("p_partkey", F.lit("png").alias("kind")).unionByName(p.where("p_type in ('PROMO', 'SMALL')").select("p_partkey", F.lit("jpg").alias("kind")))
 
 
 @query("select distinct event_type from events where event_type <> 'error'")

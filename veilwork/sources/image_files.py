@@ -1,26 +1,27 @@
-"""A sink of one file per row: df of (path, data) written with format("image_files").save(folder)."""
+"""A sink of one file per row: df of (path, data) written with format("image_files").save(folder or URI)."""
 
 from __future__ import annotations
 
-import os
+import posixpath
 from collections.abc import Iterator
 
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
+from veilwork.sources.storage import opened, write_whole
+
 
 class FileWriter(DataSourceWriter):
     def __init__(self, options: dict):
-        self.root = options["path"].removeprefix("file://")
+        self.root = options["path"]
 
     def write(self, rows: Iterator) -> WriterCommitMessage:
+        files, root = opened(self.root)
+        root = posixpath.normpath(root)
         for row in rows:
-            to = os.path.normpath(os.path.join(self.root, row["path"].lstrip("/")))
-            if not to.startswith(os.path.normpath(self.root) + os.sep):
+            to = posixpath.normpath(posixpath.join(root, row["path"].lstrip("/")))
+            if not to.startswith(root + "/"):
                 raise ValueError(f"outside the folder: {row['path']}")
-            os.makedirs(os.path.dirname(to), exist_ok=True)
-            with open(f"{to}.part", "wb") as file:  # renamed when whole, so that a retried task leaves no half file
-                file.write(row["data"])
-            os.replace(f"{to}.part", to)
+            write_whole(files, to, bytes(row["data"]))  # a retried task writes the same files again
         return WriterCommitMessage()
 
 

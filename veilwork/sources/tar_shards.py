@@ -5,12 +5,14 @@ The tests are options: a reader that takes pushed filters keeps them for later q
 from __future__ import annotations
 
 import fnmatch
-import os
 import tarfile
 from collections.abc import Iterator
 
+from pyarrow import fs
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from veilwork.sources.storage import opened
+
 
 class Shard(InputPartition):
     def __init__(self, path: str):
@@ -21,18 +23,21 @@ class TarReader(DataSourceReader):
     """One partition per shard; members are streamed, so a shard of any size needs the memory of one member."""
 
     def __init__(self, options: dict):
-        self.root, self.glob = options["path"].removeprefix("file://"), options.get("pattern", "shard-*.tar")
+        self.root, self.glob = options["path"], options.get("pattern", "shard-*.tar")
         self.payload = str(options.get("payload", "true")).lower() == "true"
         self.prefix, self.suffix = options.get("prefix", ""), options.get("suffix", "")
 
     def partitions(self):
-        found = sorted(os.path.join(d, x) for d, _, names in os.walk(self.root) for x in names if fnmatch.fnmatch(x, self.glob))
+        files, root = opened(self.root)
+        inside = files.get_file_info(fs.FileSelector(root, recursive=True, allow_not_found=True))
+        found = sorted(x.path for x in inside if x.type == fs.FileType.File and fnmatch.fnmatch(x.base_name, self.glob))
         if not found:
             raise FileNotFoundError(f"no {self.glob} under {self.root}")
         return [Shard(x) for x in found]
 
     def read(self, partition: Shard) -> Iterator[tuple]:
-        with tarfile.open(partition.path, "r|*") as tar:
+        files, _ = opened(self.root)
+        with files.open_input_stream(partition.path, compression=None) as raw, tarfile.open(fileobj=raw, mode="r|*") as tar:
             for k, member in enumerate(tar):
                 if member.isfile() and member.name.startswith(self.prefix) and member.name.endswith(self.suffix):
                     yield partition.path, k, member.name, member.size, tar.extractfile(member).read() if self.payload else None
