@@ -117,3 +117,28 @@ def test_reports(spark, tmp_path):
     assert [r["value"] for r in spark.read.text(str(tmp_path / "missing")).collect()] == ["x", "z"]
     reports.write_summary(spark.createDataFrame([("t", "m", 1.5)], "task string, method string, removal_pct double"), str(tmp_path / "summary"))
     assert [tuple(r) for r in spark.read.option("header", True).csv(str(tmp_path / "summary")).collect()] == [("t", "m", "1.5")]
+
+
+def test_render_queries_against_files(spark):
+    """The queries without SQL, recomputed plane by plane on the driver."""
+    import hashlib
+
+    from veilwork.plans import registry
+
+    sf = "/root/testdata/sf0.001"
+    planes = {r["vec_id"]: np.floor(np.clip(np.array(r["embedding"], np.float32).astype(float) + 0.5, 0, 1) * 255).astype(np.uint8).reshape(8, 8) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()}
+    sha = lambda x: hashlib.sha256(kernels.png(x)).hexdigest()
+    depths = {r["path"]: r["sha256"] for r in registry.QUERIES["depth_maps"](spark, sf).collect()}
+    assert depths == {f"depth/{k}_depth.png": sha(kernels.normalise(v.astype(float), invert=True)) for k, v in planes.items()}
+    got = {r["path"]: r["sha256"] for r in registry.QUERIES["render_variants"](spark, sf).collect()}
+    assert len(got) == 37 * sum(k + 1 in planes for k in planes)
+    u = render.drawn
+    for k in [k for k in planes if k + 1 in planes]:
+        for c in at.config_rows():
+            key = (42, k, c[0])
+            air = c[5] and tuple(min(max(x + int(u(*key, "air", i) * 11) - 5, 0), 255) for i, x in enumerate(c[5]))
+            near, side = (255 - planes[k + 1].astype(float)) / 255, render.blur_side(c[1], c[4], u(*key, "coin"))
+            want = render.composed(np.repeat(planes[k][:, :, None], 3, 2) / 255, kernels.gaussian_blur(near, side) if side else near, c, air, 0.2 * u(*key, "baseline"))
+            assert got[f"haze_v2/{k}/{c[0]}"] == sha(want)
+    made = {r["path"]: r["sha256"] for r in registry.QUERIES["texture_render"](spark, sf).collect()}
+    assert made == {r["path"]: sha(textures.texture(r.asDict(), 64, 48)) for r in textures.tasks(spark, 16).collect()}

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from veilwork.functions import atmosphere as at
 from veilwork.functions import color as c
 from veilwork.functions.rand import uniform
-from veilwork.operators import kernels
+from veilwork.operators import kernels, render, reports, textures
 from veilwork.plans.registry import query
 
 U = "('0x' || left(md5('42|' || {}), 8))::bigint / 4294967296.0::double"
@@ -183,3 +183,61 @@ def path_advect(table, spark):
             yield pd.DataFrame({"vec_id": frame["vec_id"], "plane": [x.tolist() for x in out]})
 
     return table("embeddings").select("vec_id", "embedding").mapInPandas(run, "vec_id long, plane array<double>")
+
+
+def _draw(name: str) -> str:
+    return U.format(f"i || '|{name}'")
+
+
+TASKS = ", ".join(
+    [f"{a}::double + {_draw(k)} * {b - a}::double as {k}" for k, (a, b) in textures.REAL.items()] + [f"({a} + floor({_draw(k)} * {b - a + 1}))::int as {k}" for k, (a, b) in textures.WHOLE.items()]
+)
+
+
+@query(f"""select i as number, 'smoke_' || lpad(i::varchar, 4, '0') || case when blurred then '_pathblur.png' else '_base.png' end as path, blurred, floor({_draw("noise")} * 128)::int as noise_seed, {TASKS}
+from (select i, row_number() over (order by md5('42|' || i || '|blurred'), i) <= 1000 as blurred from range(1, 2001) t(i))""")
+def texture_tasks(table, spark):
+    return textures.tasks(spark).select("number", "path", "blurred", "noise_seed", *textures.REAL, *textures.WHOLE)
+
+
+@query()
+def texture_render(table, spark):
+    return textures.render(textures.tasks(spark, 16), 64, 48).select("path", F.sha2("data", 256).alias("sha256"))
+
+
+def _planes(table):
+    """Each embedding as a gray image of 8 x 8."""
+    v = F.transform("embedding", lambda x: F.floor(F.greatest(F.least(x.cast("double") + 0.5, F.lit(1.0)), F.lit(0.0)) * 255).cast("int"))
+    return table("embeddings").select("vec_id", F.unhex(F.array_join(F.transform(v, lambda x: F.lpad(F.hex(x), 2, "0")), "")).alias("pixels"), F.lit(8).alias("height"), F.lit(8).alias("width"), F.lit(1).alias("channels"))
+
+
+@query()
+def render_variants(table, spark):
+    """Every plane under all configurations, with the next plane as its depth."""
+    side = lambda df, p: df.select("base", *[F.col(c).alias(p + c) for c in ("height", "width", "channels", "pixels")])
+    left = side(_planes(table).withColumn("base", F.col("vec_id").cast("string")), "i_")
+    right = side(_planes(table).withColumn("base", (F.col("vec_id") - 1).cast("string")), "d_")
+    return render.variants(left.join(right, "base")).select("path", F.sha2("data", 256).alias("sha256"), "error")
+
+
+@query()
+def depth_maps(table, spark):
+    images = _planes(table).withColumn("path", F.concat(F.lit("in/"), F.col("vec_id").cast("string"), F.lit(".png")))
+    return render.depth_maps(images, "in", lambda: lambda x: x[:, :, 0].astype(float)).select("path", F.sha2("data", 256).alias("sha256"), "error")
+
+
+HTML = "replace(replace(replace(replace({}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;')"
+
+
+@query(f"""select conv_id::varchar as key, '<section><h3>' || conv_id || '</h3>' || string_agg('<figure><img loading="lazy" src="images/' || conv_id || '.' || {HTML.format("role")} || '" alt=""><figcaption>' || {HTML.format("text")} || '</figcaption></figure>', '' order by turn, role, text) || '</section>' as html
+from conversations group by conv_id""")
+def gallery_sections(table, spark):
+    key = F.col("conv_id").cast("string")
+    cells = table("conversations").select(key.alias("key"), key.alias("title"), F.struct("turn", "role", "text").alias("place"), F.col("role").alias("field"), F.col("text").alias("caption"))
+    return reports.sections(cells)
+
+
+@query("select count(*) as total, count(l.doc_id) as matched, count(*) - count(l.doc_id) as missing from (select distinct doc_id from documents) d left join (select distinct doc_id from labels) l on d.doc_id = l.doc_id")
+def match_counts(table, spark):
+    found = table("documents").select("doc_id").distinct().join(table("labels").select("doc_id", F.col("doc_id").alias("path")).distinct(), "doc_id", "left")
+    return reports.match_counts(found)
