@@ -1,8 +1,12 @@
 """Language identification by compression.
 
-Texts are lower-cased. For each language a raw-content zstandard dictionary is filled with sample texts of it. A text is cut into blocks, each
-block is compressed once with each dictionary, and the language whose blocks are smallest in sum wins. The score is the
-winner's posterior when each byte saved counts `WEIGHT` nats; a text whose score stays under the limit is rejected.
+Texts are lower-cased. For each language a raw-content zstandard dictionary is filled with sample texts of it. A text is cut into blocks of
+equal length (at most `BLOCK` bytes, and four where they hold `SHORT` bytes each), each block is compressed once with each
+dictionary and once without one, and the language whose blocks are smallest in sum wins. Its margin is what the next best
+(another language, or no dictionary) needs more, less twice what single blocks save with their own best instead of the
+winner, both relative to the winner's compressed size. The score is margin / (margin + `HALF`), 0 for none; a text whose
+score stays under the limit is rejected. A limit of 0.3 is a margin of 3%, whatever the text's length and the number of
+languages. Ties, junk (which no dictionary shortens) and texts of two languages (whose blocks disagree) have none or less.
 
 The dictionaries are fitted on a bounded sample: at most `rows_per_language` labelled rows of each of the at most
 `most_languages` most frequent languages (ties by name), the rows whose hash of doc_id is smallest, and at most
@@ -15,7 +19,6 @@ and doc_id are not inputs of a prediction. Columns besides doc_id, text and lang
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -28,8 +31,9 @@ from veilwork.llm.common import documents, kept, text_batches
 
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
-WEIGHT = 0.7
+HALF = 0.07
 BLOCK = 1024
+SHORT = 100
 LEVEL = 9
 
 
@@ -63,17 +67,25 @@ class Classifier:
             raw.precompute_compress(level=LEVEL)
             self.coders.append(zstandard.ZstdCompressor(dict_data=raw, write_content_size=False, write_checksum=False, write_dict_id=False))
 
-    def sizes(self, data: bytes) -> list[int]:
-        parts = [data[k : k + BLOCK] for k in range(0, len(data), BLOCK)]
-        return [sum(len(coder.compress(x)) for x in parts) for coder in self.coders]
+        self.coders.append(zstandard.ZstdCompressor(level=LEVEL, write_content_size=False, write_checksum=False, write_dict_id=False))
+
+    def sizes(self, data: bytes) -> list[list[int]]:
+        """For each block its compressed size by language, and last that without a dictionary."""
+        n = max(-(-len(data) // BLOCK), min(4, len(data) // SHORT), 1)
+        step = -(-len(data) // n)
+        return [[len(coder.compress(data[k : k + step])) for coder in self.coders] for k in range(0, len(data), step)]
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """Language and score; of equal sizes the first name wins."""
         if not text or not self.names or not LETTER.search(text):
             return UNKNOWN, 0.0
-        sizes = self.sizes(text.lower().encode())
+        blocks = self.sizes(text.lower().encode())
+        *sizes, plain = map(sum, zip(*blocks))
         best = min(sizes)
-        return self.names[sizes.index(best)], 1 / sum(math.exp(-min(WEIGHT * (x - best), 700)) for x in sizes)
+        won = sizes.index(best)
+        against = sum(x[won] - min(x) for x in blocks)
+        margin = max(min([*sizes[:won], *sizes[won + 1 :], plain]) - best - 2 * against, 0) / best
+        return self.names[won], margin / (margin + HALF)
 
 
 def classify(docs: DataFrame, contents: dict[str, bytes], carry: list[str], least_score: float = 0.3, keep_text: bool = False) -> DataFrame:
