@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from veilwork.llm import language_id, line_dedup, packing, repeat_removal, simhash_dedup
 
+#: Near copies of a line are those within so many edits.
+LINE_EDITS = 2
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -25,7 +27,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _columns(line_dedup.dedup_lines(docs, ["lang", "source"]))
+    return _columns(line_dedup.dedup_lines(docs, ["lang", "source"], most=LINE_EDITS))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

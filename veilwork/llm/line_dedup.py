@@ -1,7 +1,7 @@
 """Line dedup by a segment-partition edit join, with DataFrame functions only.
 
 Lines (trimmed of spaces, of at least `min_chars` characters) are compared across all documents. A line goes if an equal
-line stands earlier, or if its first occurrence comes after that of a line within edit distance one; order is that of
+line stands earlier, or if its first occurrence comes after that of a line within `most` edits (one by default); order is that of
 (doc_id, row, line number). So of each group of linked lines the earliest always stays.
 
 With a threshold of one edit, one of two halves of a line is untouched, and the other half's edit lies in one of its two
@@ -11,6 +11,10 @@ Keys with one line are dropped after a single shuffle; what is left is joined, a
 banded bit-parallel edit distance (a word of 2k+1 bits, one step per character). No line text is shuffled except with
 its document, once.
 
+With a threshold of k > 1 edits, one of k+1 segments of the shorter line is untouched. Lines are listed under their own
+segments, and looked up under the pieces where a segment of a line up to k shorter can stand in them: shifted by at most
+the edits left for either side of it. Whole lines are verified.
+
 Cases: a null text stays null and has no lines; an empty text has one (empty) line. Lines shorter than `min_chars` always
 stay. A row repeated exactly is treated like the first of its kind and returned as often. A null doc_id comes first in
 the order. An empty table gives no rows. Only doc_id, text and the carried columns are read.
@@ -83,8 +87,25 @@ def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
     )
 
 
-def _candidates(lines: DataFrame) -> DataFrame:
-    """a, b, q (line hashes, a < b, and a quarter) of lines whose hashes agree on all but quarter q."""
+def _segment_keys(most: int) -> list[Column]:
+    """The keys of a line for more than one edit: its segments, and where those of lines up to `most` shorter can stand."""
+    keys = []
+    for less in range(most + 1):
+        size = F.char_length("line") - less
+        at = [F.floor(size * i / (most + 1)).cast("int") for i in range(most + 2)]
+        for i in range(most + 1):
+            left = most - i
+            for shift in range(max(-i, less - left), min(i, less + left) + 1):
+                part = F.substring(F.col("line"), at[i] + 1 + shift, at[i + 1] - at[i])
+                key = F.xxhash64(size, F.lit(i), part).bitwiseAND(F.lit(-QUARTERS))
+                keys.append(F.struct(key.alias("key"), F.lit(2 if less or shift else 1).alias("kind")))
+    return keys
+
+
+def _candidates(lines: DataFrame, most: int = 1) -> DataFrame:
+    """a, b, q (line hashes, a < b, and a quarter) of lines whose hashes agree on all but quarter q; for more than one edit, on a segment (q = 0)."""
+    if most > 1:
+        return _met(lines.select("h1", F.explode(F.array(*_segment_keys(most))).alias("k")))
     n = F.char_length("line")
     hashes, keys = {}, []
     for less in (0, 1):
@@ -96,7 +117,12 @@ def _candidates(lines: DataFrame) -> DataFrame:
             rest = [F.col(f"h{less}{k}" if k < q or not less else f"t{less}{k}") for k in range(QUARTERS) if k != q]
             key = F.xxhash64(F.col("size") - less, *rest).bitwiseAND(F.lit(-QUARTERS)).bitwiseOR(F.lit(q))
             keys.append(F.struct(key.alias("key"), F.lit(1 << less).alias("kind")))
-    rows = lines.withColumns(hashes | {"size": n}).select("h1", F.explode(F.array(*keys)).alias("k")).select("k.key", "h1", "k.kind").repartition("key")
+    return _met(lines.withColumns(hashes | {"size": n}).select("h1", F.explode(F.array(*keys)).alias("k")))
+
+
+def _met(rows: DataFrame) -> DataFrame:
+    """a, b, q of lines that share a key; kind 1 is listed, 2 looked up."""
+    rows = rows.select("k.key", "h1", "k.kind").repartition("key")
     once = rows.groupBy("key", "h1").agg(F.bit_or("kind").alias("kind"))
     shared = once.withColumn("n", F.count("*").over(Window.partitionBy("key"))).where("n > 1").drop("n")
     shared = shared.checkpoint()
@@ -105,8 +131,10 @@ def _candidates(lines: DataFrame) -> DataFrame:
     return met.select("a", "b", F.col("key").bitwiseAND(F.lit(QUARTERS - 1)).cast("int").alias("q")).distinct()
 
 
-def _near(a: Column, b: Column, q: Column) -> Column:
-    """Whether two lines agree on all but the shorter one's quarter q, and there within one edit."""
+def _near(a: Column, b: Column, q: Column, most: int = 1) -> Column:
+    """Whether two lines agree on all but the shorter one's quarter q, and there within one edit; for more edits, within them as a whole."""
+    if most > 1:
+        return within(a, b, most)
     m, n = F.char_length(a), F.char_length(b)
     size = F.least(m, n)
     head = F.floor(size * q / QUARTERS).cast("int")
@@ -116,15 +144,17 @@ def _near(a: Column, b: Column, q: Column) -> Column:
     return F.when(ends, within(*middle)).otherwise(F.lit(False))
 
 
-def dedup_lines(docs: DataFrame, carry: list[str] | None = None, min_chars: int = 24) -> DataFrame:
-    """The carried columns, doc_id, text without the lines that go, n_lines, n_removed."""
+def dedup_lines(docs: DataFrame, carry: list[str] | None = None, min_chars: int = 24, most: int = 1) -> DataFrame:
+    """The carried columns, doc_id, text without the lines that go, n_lines, n_removed. most: edits between near copies, one or more."""
+    if most < 1:
+        raise ValueError("most must be at least 1")
     ensure_checkpoint_dir(docs.sparkSession)
     carry = [c for c in carry or [] if c not in ("doc_id", "text")]
     rows = docs.select("doc_id", "text", *carry).withColumn("rid", F.xxhash64("doc_id", "text"))
     lines = _lines(rows, min_chars)
     place = F.struct("doc_id", "rid", "no")
     firsts = lines.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-    pairs = small_checkpoint(_candidates(lines))
+    pairs = small_checkpoint(_candidates(lines, most))
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct()
     places = firsts.join(wanted, "h1", "left_semi").groupBy(F.col("first.rid").alias("rid")).agg(F.collect_set(F.struct("h1", "h2", "first")).alias("wanted"))
     # doc_id is compared, and so read, here too, so that this join and the last one use one exchange of the texts
@@ -133,7 +163,7 @@ def dedup_lines(docs: DataFrame, carry: list[str] | None = None, min_chars: int
     left = texts.select(F.col("h1").alias("a"), F.col("first").alias("first_a"), F.col("line").alias("line_a"))
     right = texts.select(F.col("h1").alias("b"), F.col("h2").alias("b2"), F.col("first").alias("first_b"), F.col("line").alias("line_b"))
     both = pairs.union(pairs.select("b", "a", "q")).join(left, "a").join(right, "b").where("first_a < first_b")
-    near = both.where(_near(F.col("line_a"), F.col("line_b"), F.col("q"))).select(F.col("b").alias("h1"), F.col("b2").alias("h2"), F.lit(True).alias("near")).distinct()
+    near = both.where(_near(F.col("line_a"), F.col("line_b"), F.col("q"), most)).select(F.col("b").alias("h1"), F.col("b2").alias("h2"), F.lit(True).alias("near")).distinct()
     gone = firsts.join(near, ["h1", "h2"], "left").where("n > 1 or near")
     drops = lines.drop("line").join(gone, ["h1", "h2"]).where(F.coalesce("near", F.lit(False)) | (place != F.col("first")))
     drops = drops.groupBy("rid").agg(F.collect_set("no").alias("gone"))
