@@ -1,6 +1,7 @@
 """Line dedup by a segment-partition edit join, with DataFrame functions only.
 
-Lines (trimmed of spaces, of at least `min_chars` characters) are compared across all documents. A line goes if an equal
+Lines (trimmed of spaces) are compared across all documents: for equality those of at least `exact_chars` characters (by
+default as many as for edits; 1 takes all that aren't empty), for edits those of at least `min_chars`. A line goes if an equal
 line stands earlier, or if its first occurrence comes after that of a line within `most` edits (one by default); order is that of
 (doc_id, row, line number). So of each group of linked lines the earliest always stays.
 
@@ -15,7 +16,7 @@ With a threshold of k > 1 edits, one of k+1 segments of the shorter line is unto
 segments, and looked up under the pieces where a segment of a line up to k shorter can stand in them: shifted by at most
 the edits left for either side of it. Whole lines are verified.
 
-Cases: a null text stays null and has no lines; an empty text has one (empty) line. Lines shorter than `min_chars` always
+Cases: a null text stays null and has no lines; an empty text has one (empty) line. Lines shorter than both bounds always
 stay. A row repeated exactly is treated like the first of its kind and returned as often. A null doc_id comes first in
 the order. An empty table gives no rows. Only doc_id, text and the carried columns are read.
 """
@@ -144,17 +145,17 @@ def _near(a: Column, b: Column, q: Column, most: int = 1) -> Column:
     return F.when(ends, within(*middle)).otherwise(F.lit(False))
 
 
-def dedup_lines(docs: DataFrame, carry: list[str] | None = None, min_chars: int = 24, most: int = 1) -> DataFrame:
+def dedup_lines(docs: DataFrame, carry: list[str] | None = None, min_chars: int = 24, most: int = 1, exact_chars: int | None = None) -> DataFrame:
     """The carried columns, doc_id, text without the lines that go, n_lines, n_removed. most: edits between near copies, one or more."""
     if most < 1:
         raise ValueError("most must be at least 1")
     ensure_checkpoint_dir(docs.sparkSession)
     carry = [c for c in carry or [] if c not in ("doc_id", "text")]
     rows = docs.select("doc_id", "text", *carry).withColumn("rid", F.xxhash64("doc_id", "text"))
-    lines = _lines(rows, min_chars)
+    lines = _lines(rows, min_chars if exact_chars is None else min(exact_chars, min_chars))
     place = F.struct("doc_id", "rid", "no")
     firsts = lines.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-    pairs = small_checkpoint(_candidates(lines, most))
+    pairs = small_checkpoint(_candidates(lines.where(F.char_length("line") >= min_chars), most))
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct()
     places = firsts.join(wanted, "h1", "left_semi").groupBy(F.col("first.rid").alias("rid")).agg(F.collect_set(F.struct("h1", "h2", "first")).alias("wanted"))
     # doc_id is compared, and so read, here too, so that this join and the last one use one exchange of the texts
