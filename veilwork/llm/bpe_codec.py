@@ -7,8 +7,14 @@ longest token plus that bound is enough: a token boundary that far from the end
 the tokens before it are emitted and forgotten. Memory stays constant, however long a word is; ordinary words end
 within the buffer. Encodings of recent words are kept in a memo of bounded size.
 
-Decoding has two state machines: `joined` gives what the tokenizers library gives for a file without a decoder (tokens
-joined by one space), `BytesToText` turns byte-level tokens back to text, holding at most an unfinished character.
+A text is read in segments of bounded length that end before white space; words shorter than the buffer are one step of
+the transducer (remembered in a memo of bounded size), longer ones pass through it in parts. What comes out is a bounded
+list of ids at a time, which goes on to the digests and, id by id, to the decoder, and is forgotten. A run without white
+space that is longer than a segment is normalised as a whole (a few copies of that run), its words still pass one by one.
+
+The decoder is an incremental state machine from ids to bytes to text, which holds at most an unfinished character. The
+file decides which bytes a token stands for: `joined` are those of the tokenizers library for a file without a decoder
+(tokens joined by one space), `plain` those of the text itself (byte symbols as bytes, a space after a word's end).
 
 Cases: a null text is encoded as the empty one (no tokens, empty decoded text). Equal rows give equal results, each row
 its own. A null doc_id is returned as it is. An empty table gives no rows. Columns besides doc_id and text are ignored.
@@ -20,7 +26,8 @@ import codecs
 import hashlib
 import json
 import re
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
 import pyarrow as pa
 import regex
@@ -30,7 +37,11 @@ from veilwork.llm.common import documents, kept, text_batches
 
 #: Python's str.split() also splits at these four, which the tokenizer's white space lacks.
 SEPARATORS = regex.compile("[\x1c-\x1f]")
-CHUNK = regex.compile("[^\\t-\\r \x85\xa0  -     　]+")
+#: The white space that the tokenizer file's patterns know (fixed value).
+WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+CHUNK = regex.compile(f"[^{WHITE}]+")
+GAP = regex.compile(f"[{WHITE}]")
+SEGMENT = 1 << 16  # characters
 #: The pre-tokenizer's pattern in the tokenizer file (fixed value).
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 SIMPLE = regex.compile(r"[\x21-\x7eÀ-ÖØ-öø-įı-ž]+")
@@ -73,6 +84,18 @@ def chunks(text: str) -> list[str]:
     return CHUNK.findall(text) if SEPARATORS.search(text) else text.split()
 
 
+def segments(text: str, most: int = SEGMENT) -> Iterator[str]:
+    """A text in parts of about `most` characters that begin with white space, but for the first."""
+    at = 0
+    while len(text) - at > most:
+        gap = GAP.search(text, at + most)
+        if gap is None:
+            break
+        yield text[at : gap.start()]
+        at = gap.start()
+    yield text[at:] if at else text
+
+
 def byte_symbols() -> list[str]:
     """The character that stands for each byte in byte-level vocabularies: itself if printable, else the next from 256."""
     printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -117,9 +140,8 @@ class WordBpe:
         symbols = byte_symbols()
         self.inner, self.final = [self.vocab[x] for x in symbols], [self.vocab[x + END] for x in symbols]
         self.width = {i: width(t) for t, i in self.vocab.items()}
-        self.word = Memo(self._word, memo // 8)
-        self.told = Memo(lambda x: self._told(self._word(x)), memo)
-        self.chunk = Memo(lambda x: self._told(self.ids(x)), memo // 8)
+        self.word = Memo(self._word, memo)
+        self.chunk = Memo(lambda x: tuple(self.ids(x)), memo // 8)
 
     def _merge(self, ids: list[int]) -> list[int]:
         get, none, made = self.rank.get, NONE, self.made
@@ -156,90 +178,137 @@ class WordBpe:
             yield self._merge([*held, self.final[last]])
 
     def _word(self, word: str) -> tuple[int, ...]:
-        data = word.encode()
-        if len(data) <= self.window:
-            return tuple(self._merge([*(self.inner[b] for b in data[:-1]), self.final[data[-1]]]))
-        return tuple(i for part in self.stream(data) for i in part)
+        return tuple(chain.from_iterable(self.stream(word.encode())))
 
-    def ids(self, chunk: str) -> list[int]:
-        """Ids of a run without white space."""
-        out: list[int] = []
+    def words(self, chunk: str) -> Iterator[int | str]:
+        """A run without white space as ids of special tokens and words."""
         for part in self.at_special.split(chunk) if "<|" in chunk else (chunk,):
             if part in self.special:
-                out.append(self.special[part])
+                yield self.special[part]
             elif part:
                 low = part.lower() if SIMPLE.fullmatch(part) else self.normalise(part)
-                for word in PIECES.findall(low):
-                    out.extend(self.word[word] if len(word) < 64 else self._word(word))
-        return out
+                yield from (x.group() for x in PIECES.finditer(low))
 
-    def _told(self, ids: Sequence[int]) -> tuple[int, str, str]:
-        return len(ids), " ".join(map(str, ids)), " ".join([self.token[i] for i in ids])
-
-    def encode(self, text: str) -> tuple[int, str, str]:
-        """Number of tokens, ids joined by one space, and decoded text."""
-        words = simple_words(text)
-        found = list(map(self.told.__getitem__, words) if words is not None else map(self.chunk.__getitem__, chunks(text)))
-        if not found:
-            return 0, "", ""
-        counts, ids, tokens = zip(*found)
-        return sum(counts), " ".join(ids), " ".join(tokens)
+    def ids(self, chunk: str) -> list[int]:
+        """Ids of a run without white space."""
+        out: list[int] = []
+        for word in self.words(chunk):
+            out += (word,) if isinstance(word, int) else self.word[word]
+        return out
 
-    def joined(self, ids: Iterable[int]) -> str:
-        return " ".join([self.token[i] for i in ids])
+    def long_run(self, chunk: str, most: int = SEGMENT) -> Iterator[list[int]]:
+        """Ids of a run without white space, a bounded number at a time."""
+        out: list[int] = []
+        for word in self.words(chunk):
+            for part in ((word,),) if isinstance(word, int) else (self.word[word],) if len(word) <= self.window else self.stream(word.encode()):
+                out += part
+                if len(out) >= most:
+                    yield out
+                    out = []
+        yield out
+
+    def parts(self, text: str) -> Iterator[list[int]]:
+        """Ids of a text, a bounded number at a time."""
+        for segment in segments(text):
+            if (words := simple_words(segment)) is not None and len(segment) <= 2 * SEGMENT:
+                yield list(chain.from_iterable(map(self.word.__getitem__, words)))
+            elif len(segment) <= 2 * SEGMENT:
+                yield list(chain.from_iterable(map(self.chunk.__getitem__, chunks(segment))))
+            else:
+                for run in CHUNK.finditer(segment):
+                    yield from self.long_run(run.group())
+
+    def joined(self) -> list[bytes]:
+        """By id, what a token adds to the library's decoded text: a space and itself."""
+        return [b" " + self.token.get(i, "").encode() for i in range(max(self.token) + 1)]
+
+    def plain(self) -> list[bytes]:
+        """By id, the bytes that a token stands for; a word's end gives a space."""
+        byte = {x: bytes([k]) for k, x in enumerate(byte_symbols())}
+
+        def told(token: str) -> bytes:
+            if token in self.special:
+                return token.encode()
+            return b"".join(byte[x] for x in token.removesuffix(END)) + b" " * token.endswith(END)
+
+        return [told(self.token.get(i, "")) for i in range(max(self.token) + 1)]
 
 
 class BytesToText:
-    """Byte-level tokens to text, one at a time; a word end gives a space, bytes that are no UTF-8 a replacement."""
+    """Ids to text, some at a time: holds an unfinished character; bytes that are no UTF-8 give a replacement."""
 
-    def __init__(self, bpe: WordBpe):
-        self.bpe, self.byte = bpe, {x: bytes([k]) for k, x in enumerate(byte_symbols())}
+    def __init__(self, pieces: list[bytes], skip: int = 0):
+        """pieces: by id. skip: bytes to leave out at the start."""
+        self.pieces, self.skip = pieces, skip
         self.decoder = codecs.getincrementaldecoder("utf-8")("replace")
 
-    def feed(self, token_id: int) -> str:
-        token = self.bpe.token[token_id]
-        if token in self.bpe.special:
-            return self.decoder.decode(b"", True) + token
-        ends = token.endswith(END)
-        text = self.decoder.decode(b"".join(self.byte[x] for x in token.removesuffix(END)), ends)
-        return text + " " * ends
+    def feed(self, ids: Iterable[int]) -> str:
+        data = b"".join(map(self.pieces.__getitem__, ids))
+        if self.skip and data:
+            data, self.skip = data[self.skip :], 0
+        return self.decoder.decode(data)
 
     def close(self) -> str:
         return self.decoder.decode(b"", True)
 
 
-def loaded(path: str) -> WordBpe:
+class Codec:
+    """Encodes texts and decodes what it emitted, with running digests."""
+
+    def __init__(self, path: str):
+        self.bpe = WordBpe(path)
+        self.joined, self.plain = self.bpe.joined(), self.bpe.plain()
+        self.decimal = [f" {i}" for i in range(len(self.joined))]
+
+    def run(self, text: str, keep: Callable[[list[int], str, str], None] | None = None) -> tuple[int, str, str]:
+        """Number of tokens, and SHA-256 of the decimal ids joined by one space and of the decoded text; keep gets each part's ids, decoded and plain text."""
+        count, ids_sha, text_sha = 0, hashlib.sha256(), hashlib.sha256()
+        back, own = BytesToText(self.joined, skip=1), BytesToText(self.plain)
+        for ids in self.bpe.parts(text):
+            told = "".join(map(self.decimal.__getitem__, ids))
+            ids_sha.update((told if count else told[1:]).encode())
+            decoded = back.feed(ids)
+            text_sha.update(decoded.encode())
+            count += len(ids)
+            if keep:
+                keep(ids, decoded, own.feed(ids))
+        end = back.close()
+        text_sha.update(end.encode())
+        if keep:
+            keep([], end, own.close())
+        return count, ids_sha.hexdigest(), text_sha.hexdigest()
+
+
+def loaded(path: str) -> Codec:
     """One per worker process."""
-    return kept(("bpe", path), lambda: WordBpe(path))
+    return kept(("bpe", path), lambda: Codec(path))
 
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
 def encode_documents(docs: DataFrame, path: str, texts: bool = False) -> DataFrame:
-    """Per document its number of tokens and digests of ids and decoded text; with texts also ids and decoded text."""
+    """Per document its number of tokens and digests of ids and decoded text; with texts also ids, decoded and plain text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = loaded(path)
-        sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+        codec = loaded(path)
         for batch in batches:
-            counts, ids_sha, text_sha, all_ids, decoded = [], [], [], [], []
+            found, ids, decoded, plain = [], [], [], []
             for text in batch.column(1):
-                n, ids, back = bpe.encode(text.as_py() or "")
-                counts.append(n)
-                ids_sha.append(sha(ids))
-                text_sha.append(sha(back))
+                rows: list[tuple] = []
+                found.append(codec.run(text.as_py() or "", (lambda *x: rows.append(x)) if texts else None))
                 if texts:
-                    all_ids.append([int(x) for x in ids.split()])
-                    decoded.append(back)
-            columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())]
+                    ids.append([i for x in rows for i in x[0]])
+                    decoded.append("".join(x[1] for x in rows))
+                    plain.append("".join(x[2] for x in rows))
+            columns = [batch.column(0), *(pa.array([x[k] for x in found], kind) for k, kind in enumerate((pa.int64(), pa.string(), pa.string())))]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if texts:
-                columns += [pa.array(all_ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())]
-                names += ["ids", "decoded"]
+                columns += [pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string()), pa.array(plain, pa.string())]
+                names += ["ids", "decoded", "plain"]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return text_batches(docs).selectExpr("cast(doc_id as bigint) as doc_id", "text").mapInArrow(run, SCHEMA + (", ids array<int>, decoded string" if texts else ""))
+    return text_batches(docs).selectExpr("cast(doc_id as bigint) as doc_id", "text").mapInArrow(run, SCHEMA + (", ids array<int>, decoded string, plain string" if texts else ""))
 
 
 def op4_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
