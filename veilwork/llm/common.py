@@ -7,7 +7,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -34,16 +35,39 @@ def text_batches(docs: DataFrame, rows: int = 1000) -> DataFrame:
     return docs
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Uses the folder the cluster names in spark.checkpoint.dir; a local one only where it is unset (tests)."""
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder that the cluster names in spark.checkpoint.dir; one of its own only on a local master."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="veilwork-"))
+        named = context.getConf().get("spark.checkpoint.dir")
+        if not named and not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="veilwork-"))
+    return context.getCheckpointDir()
 
 
-def small_checkpoint(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint of what an exchange has made much smaller, in a quarter of the shuffle partitions."""
-    return df.coalesce(max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)).checkpoint()
+_stored: list[DataFrame] = []
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """What is read more than once, kept on the executors' disks; parts that are lost with an executor are made again.
+
+    Unlike a checkpoint it writes no file through Hadoop's local file system, which starts a process for each file's mode.
+    """
+    _stored.append(df.persist(StorageLevel.DISK_ONLY))
+    return df
+
+
+def release() -> None:
+    """Frees what operators have stored so far; results that were not read yet are made anew when read."""
+    while _stored:
+        _stored.pop().unpersist()
+
+
+def apart(column: str) -> Column:
+    """A join key with the values of a hash column in another form: no aggregate is dealt by it already, so that both
+    sides of the join get an exchange of their own and adaptive execution may split a hot key."""
+    return F.col(column).bitwiseXOR(F.lit(1))
 
 
 def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -80,7 +104,7 @@ def components(edges: DataFrame, a: str, b: str, per_task: int = 500_000) -> Dat
     so a node of very high degree is pre-aggregated or split by adaptive execution. Nodes without a link are absent;
     nulls are ignored.
     """
-    ensure_checkpoint_dir(edges.sparkSession)
+    checkpoint_dir(edges.sparkSession)
 
     def tidy(df: DataFrame) -> DataFrame:
         return df.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v")
@@ -99,7 +123,7 @@ def components(edges: DataFrame, a: str, b: str, per_task: int = 500_000) -> Dat
     def contracted(df: DataFrame, rows: int) -> DataFrame:
         return df.coalesce(1 + rows // per_task).mapInArrow(contract, "u long, v long").checkpoint()
 
-    first = small_checkpoint(tidy(edges.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).na.drop()))
+    first = stored(tidy(edges.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).na.drop()))
     rows = first.count()
     now = contracted(first, rows)
     before = None

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilwork.llm.common import components, ensure_checkpoint_dir, forest, small_checkpoint
+from veilwork.llm.common import components, forest, stored
 
 INF = float("inf")
 
@@ -83,7 +83,6 @@ def _tile_pair(threshold: float):
 
 def near_duplicates(vectors: DataFrame, threshold: float = 0.98, tile: int = 2048) -> DataFrame:
     """vec_id, label, n_links, component_id, kept: links of cosine >= threshold between vectors of one label."""
-    ensure_checkpoint_dir(vectors.sparkSession)
     rows = vectors.select("vec_id", "embedding", "label").dropDuplicates()
     whole = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(INF)))
     usable = F.coalesce(F.col("label").isNotNull() & F.col("vec_id").isNotNull() & whole & F.exists("embedding", lambda x: x != 0), F.lit(False))
@@ -96,7 +95,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, tile: int = 204
         .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
         .select("label", "dim", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), "b", "rep", "n", "embedding")
     )
-    found = small_checkpoint(dealt.groupBy("label", "dim", "i", "j").applyInPandas(_tile_pair(threshold), "rep long, links long, root long"))
+    found = stored(dealt.groupBy("label", "dim", "i", "j").applyInPandas(_tile_pair(threshold), "rep long, links long, root long"))
     joined = components(found, "rep", "root").withColumnRenamed("node", "rep")
     counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
     known = reps.join(counts, "rep", "left").join(joined, "rep", "left").select("label", "embedding", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from veilwork.llm.common import documents, ensure_checkpoint_dir, small_checkpoint
+from veilwork.llm.common import documents, stored
 
 QUARTERS = 4
 
@@ -126,7 +126,7 @@ def _met(rows: DataFrame) -> DataFrame:
     rows = rows.select("k.key", "h1", "k.kind").repartition("key")
     once = rows.groupBy("key", "h1").agg(F.bit_or("kind").alias("kind"))
     shared = once.withColumn("n", F.count("*").over(Window.partitionBy("key"))).where("n > 1").drop("n")
-    shared = shared.checkpoint()
+    shared = stored(shared)
     other = shared.select("key", F.col("h1").alias("b"), F.col("kind").alias("kind_b"))
     met = shared.withColumnRenamed("h1", "a").join(other, "key").where("a < b and (kind | kind_b) & 1 = 1")
     return met.select("a", "b", F.col("key").bitwiseAND(F.lit(QUARTERS - 1)).cast("int").alias("q")).distinct()
@@ -149,13 +149,12 @@ def dedup_lines(docs: DataFrame, carry: list[str] | None = None, min_chars: int
     """The carried columns, doc_id, text without the lines that go, n_lines, n_removed. most: edits between near copies, one or more."""
     if most < 1:
         raise ValueError("most must be at least 1")
-    ensure_checkpoint_dir(docs.sparkSession)
     carry = [c for c in carry or [] if c not in ("doc_id", "text")]
     rows = docs.select("doc_id", "text", *carry).withColumn("rid", F.xxhash64("doc_id", "text"))
     lines = _lines(rows, min_chars if exact_chars is None else min(exact_chars, min_chars))
     place = F.struct("doc_id", "rid", "no")
     firsts = lines.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-    pairs = small_checkpoint(_candidates(lines.where(F.char_length("line") >= min_chars), most))
+    pairs = stored(_candidates(lines.where(F.char_length("line") >= min_chars), most))
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct()
     places = firsts.join(wanted, "h1", "left_semi").groupBy(F.col("first.rid").alias("rid")).agg(F.collect_set(F.struct("h1", "h2", "first")).alias("wanted"))
     # doc_id is compared, and so read, here too, so that this join and the last one use one exchange of the texts

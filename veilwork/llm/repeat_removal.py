@@ -12,7 +12,12 @@ k-gram is sampled, the first of equals. Equal windows sample equal places, and o
 3. Stretches are dealt and sorted by name. The windows in them - the remaining suffixes, each as its bytes to the
    sampled position and what follows - are sorted by two 64-bit hashes and compared with their neighbours: a window
    equal to one next to it, or given with a number over one, is a repeat.
-4. Repeats go back to their texts as byte ranges, which are merged and cut out.
+4. Stretches of a hot name (more than `hot` occurrences) don't meet in one task. Equal ones are counted by two 64-bit
+   hashes with partial sums; all windows of a stretch that occurs again are repeats. The windows of each different
+   stretch are counted in the same way, by their hashes, and joined with those that occur again.
+5. Repeats go back to their texts as byte ranges, which are merged and cut out.
+
+All joins on names, windows and texts have keys that adaptive execution can split.
 
 Cases: a null text is the empty one. Texts under `length` bytes lose nothing. Equal rows each are other occurrences, so
 that long equal texts are removed whole. A null doc_id is returned as it is. An empty table gives no rows. What is left
@@ -23,14 +28,16 @@ are ignored.
 from __future__ import annotations
 
 import hashlib
+import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilwork.llm.common import blocks, documents, ensure_checkpoint_dir, kept, text_batches
+from veilwork.llm.common import apart, blocks, documents, kept, stored, text_batches
 
 GRAM = 32
 PIECE = 1 << 18
@@ -119,10 +126,11 @@ def _names(length: int):
             owner, name = owner[order], name[order]
             first = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (name[1:] != name[:-1])])
             count = np.diff(np.r_[first, len(name)])
-            return pa.RecordBatch.from_arrays([pa.array(name[first]), pa.array(np.array(keys, np.int64)[owner[first]]), pa.array(count, pa.int64())], ["h", "r1", "c"])
+            r1, r2 = np.array(keys, np.int64)[owner[first]].T
+            return pa.RecordBatch.from_arrays([pa.array(name[first]), pa.array(r1), pa.array(r2), pa.array(count, pa.int64())], ["h", "r1", "r2", "c"])
 
         for batch in batches:
-            for text, key in zip(batch.column(0), batch.column(1).to_pylist()):
+            for text, *key in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 if len(text := text.as_py()) >= length:
                     pieces.add(len(keys), text)
                     keys.append(key)
@@ -135,44 +143,48 @@ def _names(length: int):
     return run
 
 
+STRETCH = "h long, hot boolean, c1 long, c2 long, r1 long, r2 long, starts array<long>, sure boolean, stretch binary"
+
+
 def _stretches(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list] = []  # r1, r2, text, names, copies
+        held: list[list] = []  # r1, r2, text, names, hot names, whether it occurs again
 
         def rows(texts: list[list]) -> pa.RecordBatch:
             pieces = Pieces(length)
             for k, x in enumerate(texts):
                 pieces.add(k, x[2])
             joined, piece, name, first, last, start = pieces.sample()
-            wanted = np.unique(np.concatenate([np.array(x[3], np.int64) for x in texts]))
+            cold, hot = (np.unique(np.concatenate([np.array(x[k], np.int64) for x in texts])) for k in (3, 4))
             raw, found = joined.tobytes(), {}
-            for k in np.flatnonzero(np.isin(name, wanted)).tolist():
+            for k in np.flatnonzero(np.isin(name, cold) | np.isin(name, hot)).tolist():
                 p = piece[k]
                 a, b = int(first[k]), int(last[k])
                 found.setdefault((pieces.owner[p], int(name[k]), raw[a : b + length]), []).append(a - int(start[p]) + pieces.base[p])
-            keys = list(found)
+            owner, h, stretch = zip(*found) if found else ((), (), ())
             return pa.RecordBatch.from_arrays(
                 [
-                    pa.array([k[1] for k in keys], pa.int64()),
-                    pa.array([texts[k[0]][0] for k in keys], pa.int64()),
-                    pa.array([texts[k[0]][1] for k in keys], pa.int64()),
+                    pa.array(h, pa.int64()),
+                    pa.array(np.isin(np.array(h, np.int64), hot)),
+                    *(pa.array([x[c] for x in map(two_hashes, stretch)], pa.int64()) for c in (0, 1)),
+                    pa.array([texts[k][0] for k in owner], pa.int64()),
+                    pa.array([texts[k][1] for k in owner], pa.int64()),
                     pa.array(list(found.values()), pa.list_(pa.int64())),
-                    pa.array([texts[k[0]][4] > 1 or len(v) > 1 for k, v in found.items()], pa.bool_()),
-                    pa.array([k[2] for k in keys], pa.binary()),
+                    pa.array([texts[k][5] or len(v) > 1 for k, v in zip(owner, found.values())], pa.bool_()),
+                    pa.array(stretch, pa.binary()),
                 ],
-                ["h", "r1", "r2", "starts", "sure", "stretch"],
+                [x.split()[0] for x in STRETCH.split(", ")],
             )
 
-        size = 0
+        size, last = 0, None
         for batch in batches:
-            for r1, r2, text, names in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
-                if held and (held[-1][0], held[-1][1]) == (r1, r2):
-                    held[-1][4] += 1
+            for r1, r2, text, cold, hot, copies in zip(*(batch.column(k).to_pylist() for k in (0, 1)), *(batch.column(k) for k in (2, 3, 4)), batch.column(5).to_pylist()):
+                if last == (last := (r1, r2)):
                     continue
                 if size >= PIECE:
                     yield rows(held)
                     held, size = [], 0
-                held.append([r1, r2, text.as_py(), names.as_py(), 1])
+                held.append([r1, r2, text.as_py(), cold.as_py(), hot.as_py(), copies > 1])
                 size += len(held[-1][2])
         if held:
             yield rows(held)
@@ -180,6 +192,11 @@ def _stretches(length: int):
     return run
 
 
+def two_hashes(data: bytes) -> tuple[int, int]:
+    """A signed 128-bit hash in two halves."""
+    return struct.unpack("<qq", xxhash.xxh3_128_digest(data))
+
+
 def equal_neighbours(data: np.ndarray, places: np.ndarray, length: int) -> np.ndarray:
     """Which of the strings that start at these places equal another one: sorted by hash, compared with neighbours."""
     one, two = (string_hashes(data, length, base)[places] for base in BASES)
@@ -225,6 +242,65 @@ def _repeats(length: int):
     return run
 
 
+WINDOW = "c1 long, c2 long, k int, w1 long, w2 long, again boolean"
+
+
+def _windows(length: int):
+    """Of each stretch (c1, c2, again, stretch) its windows' places and hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, batch.num_rows, 512):
+                part = batch.slice(low, 512)
+                stretches = part.column(3).to_pylist()
+                sizes = np.array([len(x) for x in stretches], np.int64)
+                windows = sizes - length + 1
+                of = np.repeat(np.arange(len(stretches)), windows)
+                inside = np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows, windows)
+                data = np.frombuffer(b"".join(stretches), np.uint8)
+                at = (np.cumsum(sizes) - sizes)[of] + inside
+                c1, c2, again = (part.column(c).to_numpy(zero_copy_only=False)[of] for c in (0, 1, 2))
+                w1, w2 = (string_hashes(data, length, base)[at].view(np.int64) for base in BASES)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (c1, c2, inside.astype(np.int32), w1, w2, again)], [x.split()[0] for x in WINDOW.split(", ")])
+
+    return run
+
+
+def _ranges(length: int):
+    """r1, r2, starts, windows (places in the stretch, sorted) to byte ranges of the text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[list[int]] = [[], [], [], []]
+            for r1, r2, starts, windows in zip(*(batch.column(k).to_pylist() for k in range(4))):
+                at = np.array(windows, np.int64)
+                new = np.flatnonzero(np.r_[True, np.diff(at) != 1])
+                for low, high in zip(at[new].tolist(), at[np.r_[new[1:], len(at)] - 1].tolist()):
+                    for start in starts:
+                        for column, value in zip(out, (r1, r2, start + low, start + high + length)):
+                            column.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], ["r1", "r2", "low", "high"])
+
+    return run
+
+
+RANGE = "r1 long, r2 long, low long, high long"
+
+
+def hot_repeats(stretches: DataFrame, length: int) -> DataFrame:
+    """Ranges of repeats in stretches of hot names: counted by hashes, never gathered by name."""
+    classes = stretches.groupBy("c1", "c2").agg((F.max("sure") | (F.count("*") > 1)).alias("again"), F.first("stretch").alias("stretch"))
+    windows = classes.select("c1", "c2", "again", "stretch").mapInArrow(_windows(length), WINDOW)
+    counted = windows.groupBy("w1", "w2").agg(F.count("*").alias("n"), F.max("again").alias("again")).where("n > 1 or again")
+    known = counted.select(apart("w1").alias("k1"), F.col("w2").alias("k2"))
+    own = windows.where("not again").select("c1", "c2", "k", apart("w1").alias("k1"), F.col("w2").alias("k2"))
+    hit = own.join(known, ["k1", "k2"]).groupBy("c1", "c2").agg(F.array_sort(F.collect_list("k")).alias("windows"))
+    whole = classes.where("again").select("c1", "c2", F.sequence(F.lit(0), F.octet_length("stretch") - length).alias("windows"))
+    found = hit.union(whole).select(apart("c1").alias("k1"), F.col("c2").alias("k2"), "windows")
+    places = stretches.select("r1", "r2", "starts", apart("c1").alias("k1"), F.col("c2").alias("k2"))
+    return places.join(found, ["k1", "k2"]).select("r1", "r2", "starts", "windows").mapInArrow(_ranges(length), RANGE)
+
+
 def cut(text: bytes, ranges: list[tuple[int, int]]) -> tuple[bytes, int]:
     """What is left, and the number of maximal removed runs."""
     kept, at, spans, end = [], 0, 0, -1
@@ -239,22 +315,31 @@ def cut(text: bytes, ranges: list[tuple[int, int]]) -> tuple[bytes, int]:
     return b"".join(kept), spans
 
 
-def remove_repeats(docs: DataFrame, length: int = 200, carry: list[str] | None = None, with_text: bool = True) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256; with_text also text and spans; and the carried columns."""
-    ensure_checkpoint_dir(docs.sparkSession)
+def remove_repeats(docs: DataFrame, length: int = 200, carry: list[str] | None = None, with_text: bool = True, hot: int = 1000) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256; with_text also text; and the carried columns.
+
+    hot: names that occur more often are counted by hashes; the result is the same for any number.
+    """
     if length < 2 * GRAM:
         raise ValueError(f"length must be at least {2 * GRAM}")
     carry = [c for c in carry or [] if c not in ("doc_id", "text")]
     data = F.coalesce("text", F.lit("")).cast("binary")
     rows = text_batches(docs).select("doc_id", data.alias("data"), *carry).withColumns({"r1": F.xxhash64("data"), "r2": F.xxhash64(F.lit(5), "data")})
-    names = rows.select("data", "r1").mapInArrow(_names(length), "h long, r1 long, c long").checkpoint()
-    often = names.groupBy("h").agg(F.sum("c").alias("n")).where("n > 1").select("h")
-    wanted = names.join(often, "h").groupBy("r1").agg(F.collect_set("h").alias("names"))
-    met = rows.join(wanted, "r1").sortWithinPartitions("r1", "r2").select("r1", "r2", "data", "names", "doc_id", *carry)  # the columns of the other join, so that both use one exchange
-    stretches = met.mapInArrow(_stretches(length), "h long, r1 long, r2 long, starts array<long>, sure boolean, stretch binary")
-    found = stretches.repartition("h").sortWithinPartitions("h").mapInArrow(_repeats(length), "r1 long, r2 long, low long, high long")
-    ranges = found.groupBy("r1").agg(F.collect_list(F.struct("r2", "low", "high")).alias("ranges"))
-    joined = rows.join(ranges, "r1", "left").select("doc_id", *carry, "data", "r2", "ranges")
+    names = stored(rows.select("data", "r1", "r2").mapInArrow(_names(length), "h long, r1 long, r2 long, c long"))
+    often = names.groupBy("h").agg(F.sum("c").alias("n")).where("n > 1").select(apart("h").alias("k"), "n")
+    met = names.select("h", "r1", "r2", apart("h").alias("k")).join(often, "k")
+    # each text gives a name once, so a name's rows of one text are the copies of that text
+    once = met.groupBy("r1", "r2", "h").agg(F.count("*").alias("copies"), F.first("n").alias("n"))
+    of = lambda is_hot: F.collect_list(F.when((F.col("n") > hot) == F.lit(is_hot), F.col("h")))
+    wanted = once.groupBy("r1", "r2").agg(of(False).alias("cold"), of(True).alias("hot"), F.max("copies").alias("copies"))
+    keyed = rows.withColumn("k1", apart("r1"))  # one exchange of the texts for both joins
+    texts = keyed.join(wanted.select(apart("r1").alias("k1"), "r2", "cold", "hot", "copies"), ["k1", "r2"])
+    texts = texts.sortWithinPartitions("r1", "r2").select("r1", "r2", "data", "cold", "hot", "copies", "doc_id", *carry)
+    stretches = stored(texts.mapInArrow(_stretches(length), STRETCH))
+    cold = stretches.where("not hot").select("h", "r1", "r2", "starts", "sure", "stretch")
+    found = cold.repartition("h").sortWithinPartitions("h").mapInArrow(_repeats(length), RANGE).union(hot_repeats(stretches.where("hot"), length))
+    ranges = found.distinct().groupBy("r1", "r2").agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
+    joined = keyed.join(ranges.select(apart("r1").alias("k1"), "r2", "ranges"), ["k1", "r2"], "left").select("doc_id", *carry, "data", "ranges")
     kinds = {f.name: f.dataType.simpleString() for f in joined.schema.fields}
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in ["doc_id", *carry])
     schema += ", n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", text string" * with_text
@@ -263,9 +348,9 @@ def remove_repeats(docs: DataFrame, length: int = 200, carry: list[str] | None =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[], [], [], [], []]
-            for text, r2, found in zip(batch.column(width), batch.column(width + 1).to_pylist(), batch.column(width + 2)):
+            for text, found in zip(batch.column(width), batch.column(width + 1)):
                 text = text.as_py()
-                own = [(x["low"], x["high"]) for x in found.as_py() if x["r2"] == r2] if found.is_valid else []
+                own = [(x["low"], x["high"]) for x in found.as_py()] if found.is_valid else []
                 left, spans = cut(text, own)
                 for column, value in zip(out, (len(text), len(text) - len(left), spans, hashlib.sha256(left).hexdigest(), left.decode("utf-8", "ignore") if with_text else None)):
                     column.append(value)

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilwork.llm.common import blocks, components, documents, ensure_checkpoint_dir, forest, text_batches
+from veilwork.llm.common import blocks, components, documents, forest, stored, text_batches
 
 SEED = 42
 LEAST_SHARED = 4
@@ -140,8 +140,7 @@ def links(fps: DataFrame, most_bits: int = 4, tile: int = 2048) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, most_bits: int = 4) -> DataFrame:
     """doc_id, fingerprint (hex), component_id (smallest doc_id reachable by links)."""
-    ensure_checkpoint_dir(docs.sparkSession)
-    marked = fingerprints(docs, shingle).checkpoint()
+    marked = stored(fingerprints(docs, shingle))
     entries = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
     joined = components(links(entries, most_bits), "a", "b").withColumnRenamed("node", "fp")
     known = entries.join(joined, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
