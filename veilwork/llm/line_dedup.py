@@ -8,25 +8,35 @@ line stands earlier, or if its first occurrence comes after that of a line withi
 With a threshold of one edit, one of two halves of a line is untouched, and the other half's edit lies in one of its two
 quarters: a pair of lines agrees on all but one quarter of the shorter line, at equal distance from the ends. Each line
 is listed under four keys (all but a quarter, with its length) and looked up under the four keys of the length one less.
-Keys with one line are dropped after a single shuffle; what is left is joined, and each candidate pair is verified by a
-banded bit-parallel edit distance (a word of 2k+1 bits, one step per character). No line text is shuffled except with
-its document, once.
-
 With a threshold of k > 1 edits, one of k+1 segments of the shorter line is untouched. Lines are listed under their own
 segments, and looked up under the pieces where a segment of a line up to k shorter can stand in them: shifted by at most
-the edits left for either side of it. Whole lines are verified.
+the edits left for either side of it.
+
+Keys with one line are dropped after a single shuffle. Lists of up to `short` lines give their pairs as they are. In
+longer ones (lines of one template, say) lines meet only by what they have in common beyond the key: with one edit under
+the differing quarter less one character, where the earliest line stands for the others, so that rows are linear in the
+lines; with more edits pairs are kept only if the parities of their characters (in 64 classes) differ in at most 2k,
+which each edit changes by at most two. Each candidate pair is verified by a banded bit-parallel edit distance (a word
+of 2k+1 bits, one step per character). No line text is shuffled except with its document, and that of lines in lists.
+
+A line that makes up over a thousandth of all lines is hot; there are less than a thousand such, so they are broadcast,
+give keys at their first occurrence only, and their occurrences are told without a shuffle. Documents are known by
+128 bits of doc_id and text.
 
 Cases: a null text stays null and has no lines; an empty text has one (empty) line. Lines shorter than both bounds always
 stay. A row repeated exactly is treated like the first of its kind and returned as often. A null doc_id comes first in
-the order. An empty table gives no rows. Only doc_id, text and the carried columns are read.
+the order. An empty table gives no rows. A text is split once for each of its uses and rebuilt in time linear in its
+lines. Only doc_id, text and the carried columns are read.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from veilwork.llm.common import documents, stored
+from veilwork.llm.common import apart, documents, stored
 
 QUARTERS = 4
 
@@ -79,15 +89,20 @@ def _banded(p: Column, t: Column, m: Column, n: Column, most: int) -> Column:
 
 
 def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
-    """rid, doc_id, no, line, h1, h2 of each line that counts."""
+    """rid, rid2, doc_id, no, line, h1, h2 of each line that counts."""
     return (
-        docs.select("rid", "doc_id", F.posexplode(F.split("text", "\n")).alias("no", "line"))
+        docs.select("rid", "rid2", "doc_id", F.posexplode(F.split("text", "\n")).alias("no", "line"))
         .withColumn("line", F.trim("line"))
         .where(F.char_length("line") >= min_chars)
         .withColumns({"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit(3), "line")})
     )
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _segment_keys(most: int) -> list[Column]:
     """The keys of a line for more than one edit: its segments, and where those of lines up to `most` shorter can stand."""
     keys = []
@@ -103,10 +118,10 @@ def _segment_keys(most: int) -> list[Column]:
     return keys
 
 
-def _candidates(lines: DataFrame, most: int = 1) -> DataFrame:
-    """a, b, q (line hashes, a < b, and a quarter) of lines whose hashes agree on all but quarter q; for more than one edit, on a segment (q = 0)."""
+def _keys(lines: DataFrame, most: int = 1) -> DataFrame:
+    """key, h1, kind (1 is listed, 2 looked up) of lines under what they share with near ones; for one edit the key's last bits are the quarter left out."""
     if most > 1:
-        return _met(lines.select("h1", F.explode(F.array(*_segment_keys(most))).alias("k")))
+        return lines.select("h1", F.explode(F.array(*_segment_keys(most))).alias("k")).select("k.key", "h1", "k.kind")
     n = F.char_length("line")
     hashes, keys = {}, []
     for less in (0, 1):
@@ -118,18 +133,60 @@ def _candidates(lines: DataFrame, most: int = 1) -> DataFrame:
             rest = [F.col(f"h{less}{k}" if k < q or not less else f"t{less}{k}") for k in range(QUARTERS) if k != q]
             key = F.xxhash64(F.col("size") - less, *rest).bitwiseAND(F.lit(-QUARTERS)).bitwiseOR(F.lit(q))
             keys.append(F.struct(key.alias("key"), F.lit(1 << less).alias("kind")))
-    return _met(lines.withColumns(hashes | {"size": n}).select("h1", F.explode(F.array(*keys)).alias("k")))
+    return lines.withColumns(hashes | {"size": n}).select("h1", F.explode(F.array(*keys)).alias("k")).select("k.key", "h1", "k.kind")
+
+
+def _shared(keys: DataFrame) -> DataFrame:
+    """key, h1, kind, n of lists with n > 1 lines."""
+    once = keys.repartition("key").groupBy("key", "h1").agg(F.bit_or("kind").alias("kind"))
+    return once.withColumn("n", F.count("*").over(Window.partitionBy("key"))).where("n > 1")
+
+
+def _quarter(key: Column) -> Column:
+    return key.bitwiseAND(F.lit(QUARTERS - 1)).cast("int")
+
+
+def _pairs(rows: DataFrame, most: int = 0) -> DataFrame:
+    """a, b, q of lines that share a key, one of them listed; with most, only those whose parities (column sig) may be so near."""
+    left = rows.withColumnRenamed("h1", "a")
+    right = rows.select("key", F.col("h1").alias("b"), F.col("kind").alias("kind_b"), *([F.col("sig").alias("sig_b")] if most else []))
+    met = left.join(right, "key").where("a < b and (kind | kind_b) & 1 = 1")
+    if most:
+        met = met.where(F.bit_count(F.col("sig").bitwiseXOR(F.col("sig_b"))) <= 2 * most)
+    return met.select("a", "b", _quarter(F.col("key")).alias("q"))
+
+
+PARITY = "aggregate(split(line, ''), 0L, (sum, c) -> sum ^ shiftleft(1L, ascii(c) & 63))"
+
+
+def _stars(rows: DataFrame) -> DataFrame:
+    """a, b, q of lines (key, h1, kind, first, line) of long lists that agree on their key's quarter but for one character.
+
+    A listed line has its quarter less each character, by place (lines with another character there), and its whole
+    quarter; a looked-up one, a character longer, its quarter less each character. Of the lines that agree the earliest
+    listed one is paired with the others: it is near each of them.
+    """
+    q, n = _quarter(F.col("key")), F.char_length("line")
 
+    def forms(shorter: int) -> Column:
+        head = F.floor((n - shorter) * q / QUARTERS).cast("int")
+        middle = F.substring(F.col("line"), head + 1, F.floor((n - shorter) * (q + 1) / QUARTERS).cast("int") - head + shorter)
 
-def _met(rows: DataFrame) -> DataFrame:
-    """a, b, q of lines that share a key; kind 1 is listed, 2 looked up."""
-    rows = rows.select("k.key", "h1", "k.kind").repartition("key")
-    once = rows.groupBy("key", "h1").agg(F.bit_or("kind").alias("kind"))
-    shared = once.withColumn("n", F.count("*").over(Window.partitionBy("key"))).where("n > 1").drop("n")
-    shared = stored(shared)
-    other = shared.select("key", F.col("h1").alias("b"), F.col("kind").alias("kind_b"))
-    met = shared.withColumnRenamed("h1", "a").join(other, "key").where("a < b and (kind | kind_b) & 1 = 1")
-    return met.select("a", "b", F.col("key").bitwiseAND(F.lit(QUARTERS - 1)).cast("int").alias("q")).distinct()
+        def without(m: Column) -> Column:
+            at = F.when(F.char_length(m) > 0, F.sequence(F.lit(1), F.char_length(m))).otherwise(F.array().cast("array<int>"))
+            rest = lambda i: F.concat(F.substring(m, F.lit(1), i - 1), F.substring(m, i + 1, F.char_length(m)))
+            own = F.transform(at, lambda i: F.struct(F.lit(shorter).alias("late"), F.xxhash64("key", F.lit(0) if shorter else i, rest(i)).alias("v")))
+            return own if shorter else F.concat(own, F.array(F.struct(F.lit(0).alias("late"), F.xxhash64("key", F.lit(0), m).alias("v"))))
+
+        return _let(middle, without)
+
+    empty = F.array().cast("array<struct<late:int,v:bigint>>")
+    listed = F.when(F.col("kind").bitwiseAND(F.lit(1)) == 1, forms(0)).otherwise(empty)
+    looked_up = F.when(F.col("kind").bitwiseAND(F.lit(2)) == 2, forms(1)).otherwise(empty)
+    dealt = rows.select("h1", "first", q.alias("q"), F.explode(F.concat(listed, looked_up)).alias("f")).select("h1", "first", "q", "f.late", "f.v")
+    centre = F.min(F.struct("late", "first", "h1")).over(Window.partitionBy("v"))
+    met = dealt.withColumn("c", centre).where("c.late = 0 and c.h1 <> h1")
+    return met.select(F.least("h1", "c.h1").alias("a"), F.greatest("h1", "c.h1").alias("b"), "q")
 
 
 def _near(a: Column, b: Column, q: Column, most: int = 1) -> Column:
@@ -145,36 +202,79 @@ def _near(a: Column, b: Column, q: Column, most: int = 1) -> Column:
     return F.when(ends, within(*middle)).otherwise(F.lit(False))
 
 
-def dedup_lines(docs: DataFrame, carry: list[str] | None = None, min_chars: int = 24, most: int = 1, exact_chars: int | None = None) -> DataFrame:
+HOT = 1000
+
+
+def dedup_lines(docs: DataFrame, carry: list[str] | None = None, min_chars: int = 24, most: int = 1, exact_chars: int | None = None, short: int = 16) -> DataFrame:
     """The carried columns, doc_id, text without the lines that go, n_lines, n_removed. most: edits between near copies, one or more."""
     if most < 1:
         raise ValueError("most must be at least 1")
     carry = [c for c in carry or [] if c not in ("doc_id", "text")]
-    rows = docs.select("doc_id", "text", *carry).withColumn("rid", F.xxhash64("doc_id", "text"))
+    rows = docs.select("doc_id", "text", *carry).withColumns({"rid": F.xxhash64("doc_id", "text"), "rid2": F.xxhash64(F.lit(5), "text", "doc_id")})
     lines = _lines(rows, min_chars if exact_chars is None else min(exact_chars, min_chars))
-    place = F.struct("doc_id", "rid", "no")
-    firsts = lines.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-    pairs = stored(_candidates(lines.where(F.char_length("line") >= min_chars), most))
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct()
-    places = firsts.join(wanted, "h1", "left_semi").groupBy(F.col("first.rid").alias("rid")).agg(F.collect_set(F.struct("h1", "h2", "first")).alias("wanted"))
+    place = F.struct("doc_id", "rid", "rid2", "no")
+    firsts = stored(lines.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")))
+    total = firsts.agg(F.sum("n")).first()[0] or 0
+    is_hot = F.col("n") * HOT > F.lit(total)  # less than HOT lines
+    hot = F.broadcast(firsts.where(is_hot).select("h1", "h2", F.col("first").alias("hot_first")))
+
+    once = lines.where(F.char_length("line") >= min_chars).join(hot, ["h1", "h2"], "left").where(F.col("hot_first").isNull() | (place == F.col("hot_first")))
+    shared = stored(_shared(_keys(once, most)))
+    texts = stored(_texts(rows, firsts, shared.select("h1").distinct()))
+    pairs = _candidates(shared, texts, most, short)
+    near = _near_lines(pairs, texts, most)
+
+    gone = firsts.join(near, ["h1", "h2"], "left").where("n > 1 or near").select("h1", "h2", "first", "n", F.coalesce("near", F.lit(False)).alias("near"))
+    gone = stored(gone)
+    hot_gone = F.broadcast(gone.where(is_hot).select("h1", "h2", F.col("first").alias("hot_first"), F.col("near").alias("hot_near")))
+    told = lines.drop("line").join(hot_gone, ["h1", "h2"], "left")
+    known = F.col("hot_first").isNotNull()
+    told = told.withColumn("k", F.when(known, F.xxhash64("rid", "rid2", "no")).otherwise(apart("h1")))  # what is told already goes anywhere
+    cold = gone.where(~is_hot).select(apart("h1").alias("k"), "h2", "first", "near")
+    drops = told.join(cold, ["k", "h2"], "left").select(
+        "rid", "rid2", "no", F.when(known, F.col("hot_near") | (place != F.col("hot_first"))).otherwise(F.col("near") | (place != F.col("first"))).alias("goes")
+    )
+    drops = drops.where("goes").groupBy("rid", "rid2").agg(F.collect_set("no").alias("gone"))
+
+    joined = rows.join(drops, ["rid", "rid2"], "left")
+    left = lambda x: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(x["parts"]) - 1), x["gone"]), lambda i: F.get(x["parts"], i)), "\n")
+    parts = F.split("text", "\n")
+    kept = F.when(F.col("gone").isNull(), F.col("text")).otherwise(_let(F.struct(parts.alias("parts"), F.col("gone").alias("gone")), left))
+    return joined.select("doc_id", kept.alias("text"), *carry, F.greatest(F.size(parts), F.lit(0)).cast("long").alias("n_lines"), F.greatest(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"))
+
+
+def _texts(rows: DataFrame, firsts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """h1, h2, first, line of the wanted lines (column h1), read again from their first documents."""
+    places = firsts.join(wanted, "h1", "left_semi").groupBy(F.col("first.rid").alias("rid"), F.col("first.rid2").alias("rid2"))
+    places = places.agg(F.collect_set(F.struct("h1", "h2", "first")).alias("wanted"))
     # doc_id is compared, and so read, here too, so that this join and the last one use one exchange of the texts
-    same = F.coalesce("doc_id", F.lit(-1)) == F.coalesce("w.first.doc_id", F.lit(-1))
-    texts = rows.join(places, "rid").select("doc_id", "text", F.explode("wanted").alias("w")).where(same).select("w.h1", "w.h2", "w.first", F.trim(F.get(F.split("text", "\n"), F.col("w.first.no"))).alias("line")).distinct()
+    met = rows.join(places, ["rid", "rid2"]).where(F.coalesce("doc_id", F.lit(-1)) == F.coalesce(F.get("wanted", F.lit(0))["first"]["doc_id"], F.lit(-1)))
+    line = lambda x: F.transform(x["wanted"], lambda w: F.struct(w["h1"].alias("h1"), w["h2"].alias("h2"), w["first"].alias("first"), F.trim(F.get(x["parts"], w["first"]["no"])).alias("line")))
+    found = _let(F.struct(F.split("text", "\n").alias("parts"), F.col("wanted").alias("wanted")), line)
+    return met.select(F.explode(found).alias("w")).select("w.*").distinct()
+
+
+def _candidates(shared: DataFrame, texts: DataFrame, most: int, short: int) -> DataFrame:
+    """a, b, q (line hashes, a < b, and for one edit a quarter) of lines that may be near."""
+    brief = _pairs(shared.where(F.col("n") <= short).drop("n"))
+    long = shared.where(F.col("n") > short).drop("n")
+    if most > 1:
+        more = _pairs(long.join(texts.select("h1", F.expr(PARITY).alias("sig")), "h1"), most)
+    else:
+        more = _stars(long.join(texts.select("h1", "first", "line"), "h1"))
+    return stored(brief.union(more).distinct())
+
+
+def _near_lines(pairs: DataFrame, texts: DataFrame, most: int) -> DataFrame:
+    """h1, h2, near (true) of lines within so many edits of an earlier one."""
     left = texts.select(F.col("h1").alias("a"), F.col("first").alias("first_a"), F.col("line").alias("line_a"))
     right = texts.select(F.col("h1").alias("b"), F.col("h2").alias("b2"), F.col("first").alias("first_b"), F.col("line").alias("line_b"))
     both = pairs.union(pairs.select("b", "a", "q")).join(left, "a").join(right, "b").where("first_a < first_b")
-    near = both.where(_near(F.col("line_a"), F.col("line_b"), F.col("q"), most)).select(F.col("b").alias("h1"), F.col("b2").alias("h2"), F.lit(True).alias("near")).distinct()
-    gone = firsts.join(near, ["h1", "h2"], "left").where("n > 1 or near")
-    drops = lines.drop("line").join(gone, ["h1", "h2"]).where(F.coalesce("near", F.lit(False)) | (place != F.col("first")))
-    drops = drops.groupBy("rid").agg(F.collect_set("no").alias("gone"))
-    parts = F.split("text", "\n")
-    kept = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(F.filter(parts, lambda x, i: ~F.array_contains("gone", i)), "\n"))
-    joined = rows.join(drops, "rid", "left")
-    return joined.select("doc_id", kept.alias("text"), *carry, F.greatest(F.size(parts), F.lit(0)).cast("long").alias("n_lines"), F.greatest(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"))
+    return both.where(_near(F.col("line_a"), F.col("line_b"), F.col("q"), most)).select(F.col("b").alias("h1"), F.col("b2").alias("h2"), F.lit(True).alias("near")).distinct()
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = dedup_lines(documents(spark, sf_dir))
+    found = dedup_lines(documents(spark, sf_dir), exact_chars=1)
     return found.select("doc_id", "n_lines", "n_removed", F.char_length("text").cast("long").alias("kept_chars"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
@@ -182,10 +282,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP3_SQL = """
 with d as (select row_number() over () as r, doc_id, text, string_split(text, chr(10)) as parts from documents),
 l as (select r, unnest(range(1, len(parts) + 1)) as no, trim(unnest(parts), ' ') as line, doc_id from d),
-w as (select *, {'late': doc_id is not null, 'id': coalesce(doc_id, 0), 'no': no} as place from l where length(line) >= 24),
+w as (select *, {'late': doc_id is not null, 'id': coalesce(doc_id, 0), 'no': no} as place from l where length(line) >= 1),
 f as (select line, length(line) as n, min(place) as place from w group by line),
 halves as (
-  select line, n, place, less, (n - less) // 2 as h, n - less as m from f, (values (0), (1)) as x(less)
+  select line, n, place, less, (n - less) // 2 as h, n - less as m from f, (values (0), (1)) as x(less) where n >= 24
 ),
 k as (
   select line, n, place, less, m, 'head' as side, left(line, h) as part from halves
