@@ -1,6 +1,7 @@
 """Plain restatements of what operators must return, quadratic where that is simplest."""
 
 import re
+from collections import Counter
 
 import numpy as np
 import xxhash
@@ -8,12 +9,12 @@ import xxhash
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
-def fingerprint(text):
+def fingerprint(text, shingle=4):
     low = bytes(b + 32 if 65 <= b <= 90 else b for b in (text or "").encode())
     words = WORD.findall(low)
     if not words:
         return 0
-    shingles = [b" ".join(words[k : k + 4]) for k in range(max(len(words) - 3, 1))]
+    shingles = [b" ".join(words[k : k + shingle]) for k in range(max(len(words) - shingle + 1, 1))]
     hashes = [xxhash.xxh64_intdigest(s, seed=42) for s in shingles]
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
@@ -48,20 +49,34 @@ def one_edit(a, b):
     return a[k + (len(a) == len(b)) :] == b[k + 1 :]
 
 
-def lines(rows, least=24):
+def within(a, b, most):
+    """Whether two strings are within so many edits, by the full table."""
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1] <= most
+
+
+def lines(rows, least=24, exact=24, most=1):
     """rows: (doc_id, text), distinct ids; text by doc_id after line dedup."""
     first, at = {}, []
     for doc_id, text in sorted(rows):
         for no, line in enumerate((text or "").split("\n")):
             line = line.strip(" ")
-            if len(line) >= least:
+            if len(line) >= min(least, exact):
                 first.setdefault(line, (doc_id, no))
                 at.append((doc_id, no, line))
     by_size, near = {}, set()
     for line in first:  # in order of first occurrence
-        if any(one_edit(line, x) for n in (len(line) - 1, len(line), len(line) + 1) for x in by_size.get(n, ())):
+        if len(line) < least:
+            continue
+        count = Counter(line)
+        others = (x for n in range(len(line) - most, len(line) + most + 1) for x in by_size.get(n, ()))
+        if any(one_edit(line, x) if most == 1 else (count - c).total() <= most and (c - count).total() <= most and within(line, x, most) for x, c in others):
             near.add(line)
-        by_size.setdefault(len(line), []).append(line)
+        by_size.setdefault(len(line), []).append((line, count))
     gone = {(d, no) for d, no, line in at if line in near or first[line] != (d, no)}
     return {d: None if t is None else "\n".join(x for no, x in enumerate(t.split("\n")) if (d, no) not in gone) for d, t in rows}
 

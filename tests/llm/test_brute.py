@@ -111,9 +111,9 @@ def test_pipeline_against_brute_force(spark, documents):
     stages, now = dict(corpus_pipeline.STAGES), documents
     now = stages["language_id"](spark, now, SF)
     assert texts_of(now) == docs and now.columns == corpus_pipeline.COLUMNS
-    now, docs = stages["line_dedup"](spark, now, SF), brute.lines(list(docs.items()))
+    now, docs = stages["line_dedup"](spark, now, SF), brute.lines(list(docs.items()), exact=1, most=corpus_pipeline.LINE_EDITS)
     assert texts_of(now) == docs and now.columns == corpus_pipeline.COLUMNS
-    items = [(k, brute.fingerprint(t)) for k, t in docs.items()]
+    items = [(k, brute.fingerprint(t, corpus_pipeline.SHINGLE)) for k, t in docs.items()]
     docs = {k: docs[k] for (k, _), c in zip(items, brute.groups(items, lambda x, y: (x ^ y).bit_count() <= 4)) if k == c}
     now = stages["simhash_near_dedup"](spark, now, SF)
     assert texts_of(now) == docs and now.columns == corpus_pipeline.COLUMNS

@@ -46,13 +46,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """A reliable checkpoint of what an exchange has made much smaller, in an eighth of the shuffle partitions."""
+    checkpoint_dir(df.sparkSession)
+    return df.coalesce(max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 8)).checkpoint()
+
+
 _stored: list[DataFrame] = []
 
 
 def stored(df: DataFrame) -> DataFrame:
     """What is read more than once, kept on the executors' disks; parts that are lost with an executor are made again.
 
-    Unlike a checkpoint it writes no file through Hadoop's local file system, which starts a process for each file's mode.
+    For large results of short plans; `cut` is for small results of long ones.
     """
     _stored.append(df.persist(StorageLevel.DISK_ONLY))
     return df
@@ -64,6 +70,12 @@ def release() -> None:
         _stored.pop().unpersist()
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Deletes a folder by whichever file system its path names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def apart(column: str) -> Column:
     """A join key with the values of a hash column in another form: no aggregate is dealt by it already, so that both
     sides of the join get an exchange of their own and adaptive execution may split a hot key."""
@@ -123,7 +135,7 @@ def components(edges: DataFrame, a: str, b: str, per_task: int = 500_000) -> Dat
     def contracted(df: DataFrame, rows: int) -> DataFrame:
         return df.coalesce(1 + rows // per_task).mapInArrow(contract, "u long, v long").checkpoint()
 
-    first = stored(tidy(edges.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).na.drop()))
+    first = cut(tidy(edges.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).na.drop()))
     rows = first.count()
     now = contracted(first, rows)
     before = None

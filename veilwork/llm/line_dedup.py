@@ -36,7 +36,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from veilwork.llm.common import apart, documents, stored
+from veilwork.llm.common import apart, cut, documents, stored
 
 QUARTERS = 4
 
@@ -220,7 +220,7 @@ def dedup_lines(docs: DataFrame, carry: list[str] | None = None, min_chars: int
 
     once = lines.where(F.char_length("line") >= min_chars).join(hot, ["h1", "h2"], "left").where(F.col("hot_first").isNull() | (place == F.col("hot_first")))
     shared = stored(_shared(_keys(once, most)))
-    texts = stored(_texts(rows, firsts, shared.select("h1").distinct()))
+    texts = cut(_texts(rows, firsts, shared.select("h1").distinct()))
     pairs = _candidates(shared, texts, most, short)
     near = _near_lines(pairs, texts, most)
 
@@ -262,7 +262,7 @@ def _candidates(shared: DataFrame, texts: DataFrame, most: int, short: int) -> D
         more = _pairs(long.join(texts.select("h1", F.expr(PARITY).alias("sig")), "h1"), most)
     else:
         more = _stars(long.join(texts.select("h1", "first", "line"), "h1"))
-    return stored(brief.union(more).distinct())
+    return cut(brief.union(more).distinct())
 
 
 def _near_lines(pairs: DataFrame, texts: DataFrame, most: int) -> DataFrame:
