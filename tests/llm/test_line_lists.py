@@ -66,3 +66,33 @@ def test_time_is_linear_in_a_text_s_lines(spark):
         assert (r["n_lines"], r["n_removed"]) == (n, n // 2) and r["text"] == "\n".join(text.split("\n")[: n // 2])
         common.release()
     assert took[2] < took[0] + 6 * max(took[1] - took[0], 3)
+
+
+def test_pieces_never_reject_near_lines(spark):
+    pairs = []
+    for _ in range(300):
+        a = "".join(rng.choice("abé ") for _ in range(rng.randint(24, 60)))
+        b = list(a)
+        for _ in range(rng.randint(0, 4)):
+            k = rng.randrange(len(b) + 1)
+            b[k : k + rng.choice([0, 1])] = rng.choice(["", "x", "a", "é"])
+        pairs.append((a, "".join(b)))
+    df = spark.createDataFrame(pairs, "a string, b string")
+    for most in (2, 3):
+        told = df.select((F.levenshtein("a", "b") <= most).alias("near"), line_dedup._most_pieces(F.col("a"), F.col("b"), most).alias("may"), line_dedup._near(F.col("a"), F.col("b"), F.lit(0), most).alias("got")).collect()
+        assert all(r["near"] == r["got"] and (r["may"] or not r["near"]) for r in told) and any(r["near"] for r in told)
+
+
+def test_near_copies_of_one_long_line(spark):
+    words = ["".join(rng.choice("etaoinshrd") for _ in range(rng.randint(2, 8))) for _ in range(60)]
+    lines = []
+    for k in range(120):
+        line = list(words)
+        if k % 3:
+            line.insert(rng.randrange(60), "".join(rng.choice("klmbegh") for _ in range(4)))
+        else:
+            line[rng.randrange(60)] += rng.choice(["s", "", "ed"])
+        lines.append(" ".join(line))
+    rows = list(enumerate(lines))
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), most=2).collect()}
+    assert got == brute(rows, 2) and "" in got.values()

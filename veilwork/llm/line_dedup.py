@@ -12,12 +12,12 @@ With a threshold of k > 1 edits, one of k+1 segments of the shorter line is unto
 segments, and looked up under the pieces where a segment of a line up to k shorter can stand in them: shifted by at most
 the edits left for either side of it.
 
-Keys with one line are dropped after a single shuffle. Lists of up to `short` lines give their pairs as they are. In
-longer ones (lines of one template, say) lines meet only by what they have in common beyond the key: with one edit under
-the differing quarter less one character, where the earliest line stands for the others, so that rows are linear in the
-lines; with more edits pairs are kept only if the parities of their characters (in 64 classes) differ in at most 2k,
-which each edit changes by at most two. Each candidate pair is verified by a banded bit-parallel edit distance (a word
-of 2k+1 bits, one step per character). No line text is shuffled except with its document, and that of lines in lists.
+Keys with one line are dropped after a single shuffle. With one edit, lists of up to `short` lines give their pairs as
+they are; in longer ones (lines of one template, say) lines meet only under the differing quarter less one character,
+where the earliest line stands for the others, so that rows are linear in the lines. With more edits pairs are kept only
+if the parities of their characters (in 64 classes) differ in at most 2k, which each edit changes by at most two, and if
+all but k of 16 pieces of the one line stand in the other, shifted by at most k. Each candidate pair is verified by a
+banded bit-parallel edit distance (a word of 2k+1 bits, one step per character). No line text is shuffled except with its document, and that of lines in lists.
 
 A line that makes up over a thousandth of all lines is hot; there are less than a thousand such, so they are broadcast,
 give keys at their first occurrence only, and their occurrences are told without a shuffle. Documents are known by
@@ -189,10 +189,24 @@ def _stars(rows: DataFrame) -> DataFrame:
     return met.select(F.least("h1", "c.h1").alias("a"), F.greatest("h1", "c.h1").alias("b"), "q")
 
 
+PIECES = 16
+
+
+def _most_pieces(a: Column, b: Column, most: int) -> Column:
+    """Whether all but `most` of a line's pieces stand in another, shifted by at most `most`: an edit touches one piece."""
+    size = F.char_length(a)
+    at = [F.floor(size * i / PIECES).cast("int") for i in range(PIECES + 1)]
+    found = []
+    for low, high in zip(at, at[1:]):
+        begin = F.greatest(low + 1 - most, F.lit(1))
+        found.append(F.contains(F.substring(b, begin, high + most - begin + 1), F.substring(a, low + 1, high - low)).cast("int"))
+    return sum(found[1:], found[0]) >= PIECES - most
+
+
 def _near(a: Column, b: Column, q: Column, most: int = 1) -> Column:
     """Whether two lines agree on all but the shorter one's quarter q, and there within one edit; for more edits, within them as a whole."""
     if most > 1:
-        return within(a, b, most)
+        return F.when(_most_pieces(a, b, most), within(a, b, most)).otherwise(F.lit(False))
     m, n = F.char_length(a), F.char_length(b)
     size = F.least(m, n)
     head = F.floor(size * q / QUARTERS).cast("int")
@@ -256,12 +270,10 @@ def _texts(rows: DataFrame, firsts: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def _candidates(shared: DataFrame, texts: DataFrame, most: int, short: int) -> DataFrame:
     """a, b, q (line hashes, a < b, and for one edit a quarter) of lines that may be near."""
-    brief = _pairs(shared.where(F.col("n") <= short).drop("n"))
-    long = shared.where(F.col("n") > short).drop("n")
     if most > 1:
-        more = _pairs(long.join(texts.select("h1", F.expr(PARITY).alias("sig")), "h1"), most)
-    else:
-        more = _stars(long.join(texts.select("h1", "first", "line"), "h1"))
+        return cut(_pairs(shared.drop("n").join(texts.select("h1", F.expr(PARITY).alias("sig")), "h1"), most).distinct())
+    brief = _pairs(shared.where(F.col("n") <= short).drop("n"))
+    more = _stars(shared.where(F.col("n") > short).drop("n").join(texts.select("h1", "first", "line"), "h1"))
     return cut(brief.union(more).distinct())
 
 
