@@ -16,7 +16,7 @@ Keys with one line are dropped after a single shuffle. With one edit, lists of u
 they are; in longer ones (lines of one template, say) lines meet only under the differing quarter less one character,
 where the earliest line stands for the others, so that rows are linear in the lines. With more edits pairs are kept only
 if the parities of their characters (in 64 classes) differ in at most 2k, which each edit changes by at most two, and if
-all but k of 16 pieces of the one line stand in the other, shifted by at most k. Each candidate pair is verified by a
+all but k of 16 pieces of the one line stand in the other, shifted by at most k, once equal ends are cut off. Each candidate pair is verified by a
 banded bit-parallel edit distance (a word of 2k+1 bits, one step per character). No line text is shuffled except with its document, and that of lines in lists.
 
 A line that makes up over a thousandth of all lines is hot; there are less than a thousand such, so they are broadcast,
@@ -194,19 +194,39 @@ PIECES = 16
 
 def _most_pieces(a: Column, b: Column, most: int) -> Column:
     """Whether all but `most` of a line's pieces stand in another, shifted by at most `most`: an edit touches one piece."""
-    size = F.char_length(a)
-    at = [F.floor(size * i / PIECES).cast("int") for i in range(PIECES + 1)]
-    found = []
-    for low, high in zip(at, at[1:]):
-        begin = F.greatest(low + 1 - most, F.lit(1))
-        found.append(F.contains(F.substring(b, begin, high + most - begin + 1), F.substring(a, low + 1, high - low)).cast("int"))
-    return sum(found[1:], found[0]) >= PIECES - most
+
+    def told(x: Column) -> Column:
+        at = [F.floor(x["m"] * i / PIECES).cast("int") for i in range(PIECES + 1)]
+        found = []
+        for low, high in zip(at, at[1:]):
+            begin = F.greatest(low + 1 - most, F.lit(1))
+            found.append(F.contains(F.substring(x["b"], begin, high + most - begin + 1), F.substring(x["a"], low + 1, high - low)).cast("int"))
+        return sum(found[1:], found[0]) >= PIECES - most
+
+    return _let(F.struct(a.alias("a"), b.alias("b"), F.char_length(a).alias("m")), told)
+
+
+def _middles(a: Column, b: Column) -> Column:
+    """Two lines without the whole pieces that they have in common at their ends, as a struct a, b: as far apart as the lines."""
+    lines = F.struct(a.alias("a"), b.alias("b"), F.char_length(a).alias("m"), F.char_length(b).alias("n"))
+
+    def ends(x: Column) -> Column:
+        sizes = [F.floor(F.least(x["m"], x["n"]) * i / PIECES).cast("int") for i in range(PIECES + 1)]
+        head = F.greatest(*(F.when(F.left(x["a"], k) == F.left(x["b"], k), k).otherwise(0) for k in sizes))
+        tail = F.greatest(*(F.when(F.right(x["a"], k) == F.right(x["b"], k), k).otherwise(0) for k in sizes))
+        return F.struct(x["a"].alias("a"), x["b"].alias("b"), x["m"].alias("m"), x["n"].alias("n"), head.alias("head"), tail.alias("tail"))
+
+    def middle(x: Column) -> Column:
+        tail = F.least(x["tail"], F.least(x["m"], x["n"]) - x["head"])
+        return F.struct(*(F.substring(x[c], x["head"] + 1, x[size] - x["head"] - tail).alias(c) for c, size in (("a", "m"), ("b", "n"))))
+
+    return _let(_let(lines, ends), middle)
 
 
 def _near(a: Column, b: Column, q: Column, most: int = 1) -> Column:
-    """Whether two lines agree on all but the shorter one's quarter q, and there within one edit; for more edits, within them as a whole."""
+    """Whether two lines agree on all but the shorter one's quarter q, and there within one edit; for more edits, whether what their ends leave is within them."""
     if most > 1:
-        return F.when(_most_pieces(a, b, most), within(a, b, most)).otherwise(F.lit(False))
+        return _let(_middles(a, b), lambda x: F.when(_most_pieces(x["a"], x["b"], most), within(x["a"], x["b"], most)).otherwise(F.lit(False)))
     m, n = F.char_length(a), F.char_length(b)
     size = F.least(m, n)
     head = F.floor(size * q / QUARTERS).cast("int")
@@ -282,6 +302,7 @@ def _near_lines(pairs: DataFrame, texts: DataFrame, most: int) -> DataFrame:
     left = texts.select(F.col("h1").alias("a"), F.col("first").alias("first_a"), F.col("line").alias("line_a"))
     right = texts.select(F.col("h1").alias("b"), F.col("h2").alias("b2"), F.col("first").alias("first_b"), F.col("line").alias("line_b"))
     both = pairs.union(pairs.select("b", "a", "q")).join(left, "a").join(right, "b").where("first_a < first_b")
+    both = both.repartition(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "a", "b")  # few bytes, much work
     return both.where(_near(F.col("line_a"), F.col("line_b"), F.col("q"), most)).select(F.col("b").alias("h1"), F.col("b2").alias("h2"), F.lit(True).alias("near")).distinct()
 
 
