@@ -1,11 +1,15 @@
 """Telephony audio columns: G.711 mu-law and A-law by lookup tables, IMA ADPCM by numpy across blocks, resampled PCM.
 
-`decode` reads a WAV file of one of the three codings; `encode_bytes` stores a payload as 8-bit mu-law samples in a WAV
-file. ADPCM blocks of 4 + n bytes are decoded step by step in time, all blocks of a batch at once. PCM is resampled by
-linear interpolation at exact rational positions. Files are parsed from what is stored, never from what was put in.
-
-Cases of op7: a null text is the empty one, so a payload of 64 zero bytes. Equal texts give equal values, each row its
-own. A null doc_id is returned as it is. An empty table gives no rows. Columns besides doc_id and text are ignored.
+`media_columns` stores a payload losslessly as 8-bit mu-law samples in a WAV file, and the sound they stand for as A-law
+samples and as IMA ADPCM blocks in two more. All three are read back from what is stored: mu-law and A-law by lookup
+tables, ADPCM blocks of 4 + n bytes step by step in time, all blocks of a batch at once. The PCM of the first is resampled
+by linear interpolation at exact rational positions and stored as a column. `decode_media` does the same for a column of
+files; one that can't be read gives a row with an error.
+
+Cases: a null text is the empty one, so a payload of 64 zero bytes. Equal texts give equal values, each row its own. A
+null doc_id is returned as it is. An empty table gives no rows. A very long text needs memory for its samples (about 16
+bytes a byte). Columns besides doc_id and text (or the file column and those carried) are ignored. A null file, one that
+is no WAV file, cut off, of another coding or of several channels has null rate and samples and says why.
 """
 
 from __future__ import annotations
@@ -18,6 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from veilwork.llm.common import documents, text_batches
 
@@ -101,6 +106,16 @@ def encode_adpcm(pcm: np.ndarray, block: int = 256) -> bytes:
     return out.tobytes()
 
 
+def alaw_codes() -> np.ndarray:
+    """A-law code by 16-bit sample + 32768: the nearest level, of two the lower."""
+    order = np.argsort(ALAW_TABLE, kind="stable")
+    levels = ALAW_TABLE[order].astype(np.int32)
+    return order[np.searchsorted((levels[1:] + levels[:-1]) / 2, np.arange(-32768, 32768))].astype(np.uint8)
+
+
+ALAW_CODES = alaw_codes()
+
+
 def wav(coding: int, data: bytes, rate: int = RATE, block: int = 1, bits: int = 8) -> bytes:
     """A mono WAV file."""
     extra = struct.pack("<HH", 2, 1 + 2 * (block - 4)) if coding == IMA else b"" if coding == PCM else b"\0\0"
@@ -120,20 +135,26 @@ def parse(media: bytes) -> tuple[int, int, int, bytes]:
             form = media[at + 8 : at + 8 + size]
         elif name == b"data":
             data = media[at + 8 : at + 8 + size]
+            if len(data) < size:
+                raise ValueError("the WAV file is cut off")
         at += 8 + size + size % 2
     if len(form) < 16 or data is None:
         raise ValueError("no format or no data in the WAV file")
-    coding, _, rate, _, block, _ = struct.unpack_from("<HHIIHH", form)
+    coding, channels, rate, _, block, bits = struct.unpack_from("<HHIIHH", form)
+    if coding not in (PCM, ALAW, MULAW, IMA) or channels != 1 or rate == 0 or (coding == PCM and bits != 16):
+        raise ValueError(f"coding {coding} with {channels} channels and {bits} bits at {rate} Hz isn't read")
     return coding, rate, block, data
 
 
 def decode(media: bytes) -> tuple[int, np.ndarray]:
-    """Rate and 16-bit samples of a mono WAV file of any of the codings."""
+    """Rate and 16-bit samples of a mono WAV file of any of the codings; ValueError for any other file."""
     coding, rate, block, data = parse(media)
     raw = np.frombuffer(data, np.uint8)
     if coding == PCM:
-        return rate, raw.view("<i2")
+        return rate, raw[: len(raw) // 2 * 2].view("<i2")
     if coding == IMA:
+        if block < 5:
+            raise ValueError("ADPCM blocks are too short")
         return rate, decode_adpcm(raw[: len(raw) // block * block], block).reshape(-1)
     return rate, (MULAW_TABLE if coding == MULAW else ALAW_TABLE)[raw]
 
@@ -163,35 +184,48 @@ def features(pcm: np.ndarray, wide: np.ndarray) -> str:
     return f"n={len(pcm)};peak={int(size.max())};abs={int(size.sum(dtype=np.int64))};turns={turns};pcm={WIDE}/{len(wide)}/{zlib.crc32(wide.tobytes()):08x}"
 
 
+def adpcm_files(sounds: list[np.ndarray], block: int = 256) -> tuple[list[bytes], list[np.ndarray]]:
+    """Each sound as a WAV file of IMA blocks, and its samples read back; all blocks of all sounds at once."""
+    per = 1 + 2 * (block - 4)
+    counts = [-(-len(x) // per) for x in sounds]
+    data = encode_adpcm(np.concatenate([np.pad(x, (0, n * per - len(x)), "edge") for x, n in zip(sounds, counts)]), block)
+    ends = np.cumsum(counts) * block
+    files = [wav(IMA, data[end - n * block : end], block=block, bits=4) for end, n in zip(ends.tolist(), counts)]
+    stored = b"".join(parse(x)[3] for x in files)
+    back = decode_adpcm(np.frombuffer(stored, np.uint8), block)
+    rows = np.cumsum(counts)
+    return files, [back[end - n : end].reshape(-1)[: len(x)] for end, n, x in zip(rows.tolist(), counts, sounds)]
+
+
 SCHEMA = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+MEDIA = ", media binary, alaw binary, adpcm binary, pcm binary"
 
 
 def media_columns(docs: DataFrame, media: bool = False, batch_bytes: int = 4 << 20) -> DataFrame:
-    """Stores each text as mu-law audio and reads it back: digests and features; with media also the file and resampled PCM.
+    """Stores each text as telephony audio and reads it back: digests and features; with media also the files and resampled PCM.
 
-    The payload is also decoded as 64-byte ADPCM blocks, all of a batch together; their energy is part of the feature.
+    The feature has figures of the mu-law sound, checksums of the A-law and ADPCM sounds read back, the sum of what ADPCM
+    misses, and the checksum of the resampled PCM.
     """
-    names = [x.split()[0] for x in SCHEMA.split(", ")]
+    names = [x.split()[0] for x in (SCHEMA + MEDIA * media).split(", ")]
     sha = lambda x: hashlib.sha256(x).hexdigest()
 
     def rows(held: list[tuple]) -> pa.RecordBatch:
-        out: list[list] = [[] for _ in range(len(names) + 2 * media)]
+        out: list[list] = [[] for _ in names]
         files = [wav(MULAW, data) for _, _, data in held]
-        stored = [parse(x)[3] for x in files]
-        blocks = decode_adpcm(np.frombuffer(b"".join(stored), np.uint8), UNIT)
-        energy = np.abs(blocks.astype(np.int32)).sum(axis=1, dtype=np.int64)
-        at = 0
-        for (doc_id, n, _), file, data in zip(held, files, stored):
-            rate, pcm = decode(file)
-            wide = resample(pcm, rate, WIDE)
-            to = at + len(data) // UNIT
-            feature = f"{features(pcm, wide)};adpcm={int(energy[at:to].sum())}"
-            at = to
+        sounds = [decode(x)[1] for x in files]
+        flat = [wav(ALAW, ALAW_CODES[x.astype(np.int32) + 32768].tobytes()) for x in sounds]
+        coded, heard = adpcm_files(sounds)
+        for (doc_id, n, _), file, pcm, alaw, adpcm, ima in zip(held, files, sounds, flat, coded, heard):
+            data = parse(file)[3]
+            wide = resample(pcm, RATE, WIDE)
+            missed = int(np.abs(ima.astype(np.int32) - pcm).sum(dtype=np.int64))
+            feature = f"{features(pcm, wide)};alaw={zlib.crc32(decode(alaw)[1].tobytes()):08x};adpcm={zlib.crc32(ima.tobytes()):08x}/{missed}"
             row = [doc_id, n, len(data), sha(data), zlib.crc32(data[-UNIT:]), len(file), sha(file), feature]
-            for column, value in zip(out, row + ([file, wide.astype("<i2").tobytes()] if media else [])):
+            for column, value in zip(out, row + ([file, alaw, adpcm, wide.astype("<i2").tobytes()] if media else [])):
                 column.append(value)
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()] + [pa.binary()] * (2 * media)
-        return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds)], names + ["media", "pcm"] * media)
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()] + [pa.binary()] * (4 * media)
+        return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -207,7 +241,30 @@ def media_columns(docs: DataFrame, media: bool = False, batch_bytes: int = 4 <<
         if held:
             yield rows(held)
 
-    return text_batches(docs).selectExpr("cast(doc_id as bigint) as doc_id", "text").mapInArrow(run, SCHEMA + (", media binary, pcm binary" if media else ""))
+    return text_batches(docs).selectExpr("cast(doc_id as bigint) as doc_id", "text").mapInArrow(run, SCHEMA + MEDIA * media)
+
+
+def decode_media(files: DataFrame, column: str = "media", carry: list[str] | None = None, to: int = WIDE) -> DataFrame:
+    """The carried columns, rate, n_samples and pcm (16-bit samples at rate `to`) of a column of WAV files, and error."""
+    carry = [c for c in carry or [] if c != column]
+    names = [*carry, "rate", "n_samples", "pcm", "error"]
+    rows = files.select(*carry, F.col(column).cast("binary").alias("__media"))
+    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields[:-1])
+
+    def told(media: bytes | None) -> tuple:
+        try:
+            rate, pcm = decode(media or b"")
+            return rate, len(pcm), resample(pcm, rate, to).astype("<i2").tobytes(), None
+        except (ValueError, struct.error) as failure:
+            return None, None, None, str(failure)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [told(x.as_py()) for x in batch.column(len(carry))]
+            added = [pa.array([x[k] for x in found], kind) for k, kind in enumerate((pa.int64(), pa.int64(), pa.binary(), pa.string()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *added], names)
+
+    return rows.mapInArrow(run, f"{schema}rate long, n_samples long, pcm binary, error string")
 
 
 def op7_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
