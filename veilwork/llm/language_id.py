@@ -8,9 +8,11 @@ winner, both relative to the winner's compressed size. The score is margin / (ma
 score stays under the limit is rejected. A limit of 0.3 is a margin of 3%, whatever the text's length and the number of
 languages. Ties, junk (which no dictionary shortens) and texts of two languages (whose blocks disagree) have none or less.
 
-The dictionaries are fitted on a bounded sample: at most `rows_per_language` labelled rows of each of the at most
-`most_languages` most frequent languages (ties by name), the rows whose hash of doc_id is smallest, and at most
-`dictionary_bytes` of their text, `most_chars` of each row. Whole texts are classified.
+The dictionaries are fitted on a bounded sample: at most `rows_per_language` labelled rows of each language, those whose
+hash of doc_id is smallest, and `dictionary_bytes` of their text. Each row gives an equal share of that (at most
+`most_chars`), in `slices` slices from hashed places of its whole text, so that neither starts of texts nor headers fill a
+dictionary. `most_languages` can keep the most frequent languages only (ties by name); by default all are learned. Whole
+texts are classified, block by block: a very long text needs memory for itself and its sizes.
 
 Cases: a null text, or one without a letter, is "und" with score 0 and rejected. With no labelled row every text is
 "und". Rows without doc_id, lang or text train nothing. Equal texts get equal results, each row its own. lang, source
@@ -41,21 +43,24 @@ def remainder(doc_id: str = "doc_id", parts: int = 4):
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % parts
 
 
-def fit(docs: DataFrame, held_out: int = 2, rows_per_language: int = 240, most_languages: int = 200, dictionary_bytes: int = 96_000, most_chars: int = 4000) -> dict[str, bytes]:
+def fit(docs: DataFrame, held_out: int = 2, rows_per_language: int = 240, most_languages: int | None = None, dictionary_bytes: int = 96_000, most_chars: int = 4000, slices: int = 4) -> dict[str, bytes]:
     """Raw dictionary contents by language, from rows whose crc32(doc_id) mod 4 is not `held_out`. All bounds are parameters."""
-    known = docs.where("doc_id is not null and lang is not null and text is not null").where(remainder() != held_out)
-    names = [r["lang"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect()]
-    if not names:
-        return {}
+    known = docs.where("doc_id is not null and lang is not null and text is not null").where(remainder() != held_out).select("lang", "doc_id", "text")
+    if most_languages is not None:
+        known = known.join(known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).select("lang"), "lang", "left_semi")
     first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = known.where(F.col("lang").isin(names)).select("lang", "doc_id").withColumn("k", F.row_number().over(first)).where(F.col("k") <= rows_per_language)
-    chosen = sorted({r["doc_id"] for r in ids.select("doc_id").collect()})
-    rows = known.where(F.col("doc_id").isin(chosen) & F.col("lang").isin(names)).select("lang", "doc_id", F.lower(F.substring("text", 1, most_chars)).alias("text"))
+    ids = known.select("lang", "doc_id").withColumn("k", F.row_number().over(first)).where(F.col("k") <= rows_per_language).select("lang", "doc_id").distinct()
+    ids = ids.withColumn("rows", F.count("*").over(Window.partitionBy("lang")))
+    low, size = F.col("low"), F.col("size")
+    room = F.greatest(F.char_length("low") - size + 1, F.lit(1))
+    places = [F.substring(low, (F.pmod(F.xxhash64("doc_id", F.lit(k)), room) + 1).cast("int"), size) for k in range(slices)]
+    share = F.least(F.lit(most_chars), F.greatest(F.floor(F.lit(dictionary_bytes) / F.col("rows")), F.lit(64)))
+    rows = known.join(ids, ["lang", "doc_id"]).withColumns({"low": F.lower("text"), "size": F.ceil(share / slices).cast("int")})
+    taken = F.when(F.char_length("low") <= size * slices, F.array("low")).otherwise(F.array(*places))
     out: dict[str, list[bytes]] = {}
-    for lang, _, text in sorted((tuple(r) for r in rows.collect()), key=lambda r: (r[0], r[1], r[2])):
-        out.setdefault(lang, []).append(text.encode())
-    share = {k: dictionary_bytes // max(len(v), 1) for k, v in out.items()}
-    return {k: b"\n".join(x[: max(share[k], 64)] for x in v)[:dictionary_bytes] for k, v in out.items()}
+    for lang, _, parts in sorted((tuple(r) for r in rows.select("lang", "doc_id", taken).collect()), key=lambda r: (r[0], r[1], r[2])):
+        out.setdefault(lang, []).append("\n".join(parts).encode())
+    return {k: b"\n".join(v)[:dictionary_bytes] for k, v in out.items()}
 
 
 class Classifier:
