@@ -106,7 +106,7 @@ def test_texture_tasks(spark):
 def test_reports(spark, tmp_path):
     cells = spark.createDataFrame([("d/a", "T <1>", 1, "gt.png", "clean & bright"), ("d/a", "T <1>", 2, None, None), ("b", None, 1, "x.png", None)], "key string, title string, place int, field string, caption string")
     page = open(reports.write_gallery(cells, str(tmp_path / "page"), "A & B", "seed 42")).read()
-    assert page.count("<section>") == 2 and "T &lt;1&gt;" in page and "images/d__a.gt.png" in page and "clean &amp; bright" in page and page.index("images/b.x.png") < page.index("d__a")
+    assert page.count("<section>") == 2 and "T &lt;1&gt;" in page and "images/d__a__gt.png" in page and "clean &amp; bright" in page and page.index("images/b__x.png") < page.index("d__a")
     sheet = reports.contact_sheet([[np.full((4, 8, 3), 9.0)], [np.full((2, 2, 3), 7.0), np.full((2, 2, 3), 7.0)], []], height=4)
     assert sheet.shape == (8, 8, 3) and (sheet[:4] == 9).all() and (sheet[4:] == 7).all() and reports.contact_sheet([]).shape == (1, 1, 3)
     reports.write_sheet([[np.zeros((3, 3, 3))]], str(tmp_path / "sheet.png"), 8)

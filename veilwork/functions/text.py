@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 #: Image extensions of the listings.
 IMAGES = [".jpg", ".jpeg", ".png", ".bmp", ".webp"]
+#: Extensions of originals (fixed values).
+ORIGINALS = (".jpg", ".jpeg", ".png")
 TOKEN = r"(\d+|[vhdbk][0-9.]*[0-9][0-9.]*)"
 #: Fixed value: the pattern of a scored reply.
 SCORE = r"(?i)(?:评分|Score)\s*[:：]\s*(\d+\.?\d*)\s*%?"
@@ -77,5 +79,10 @@ def relative(path: Column, prefix: Column) -> Column:
 
 
 def utf8_or_skip(data: Column) -> Column:
-    """Text of bytes without what isn't UTF-8."""
-    return F.replace(F.make_valid_utf8(data.cast("string")), F.lit("�"), F.lit(""))
+    """Text of bytes without what isn't UTF-8; valid bytes stay as they are."""
+    return F.when(F.is_valid_utf8(data.cast("string")), data.cast("string")).otherwise(F.replace(F.make_valid_utf8(data.cast("string")), F.lit("�"), F.lit("")))
+
+
+def utf8_or_stop(data: Column) -> Column:
+    """Text of bytes; the query stops with an error where they aren't UTF-8."""
+    return F.validate_utf8(data.cast("string"))

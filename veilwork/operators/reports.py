@@ -23,7 +23,7 @@ def escaped(value: Column) -> Column:
 
 def image_name(key: Column, field: Column) -> Column:
     """File of a gallery image: slashes of the key become two underscores."""
-    return F.concat(F.lit("images/"), F.replace(key, F.lit("/"), F.lit("__")), F.lit("."), field)
+    return F.concat(F.lit("images/"), F.replace(key, F.lit("/"), F.lit("__")), F.lit("__"), field)
 
 
 def sections(cells: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ def allocation(rows: DataFrame, stratum: str, total: int, least: int) -> DataFra
 def pick(rows: DataFrame, stratum: str, key: str, allocated: DataFrame, seed: int = 42) -> DataFrame:
     """As many rows of each stratum as allocated, by keyed shuffle."""
     order = Window.partitionBy(stratum).orderBy(shuffle_key(seed, key), key)
-    return rows.withColumn("k", F.row_number().over(order)).join(F.broadcast(allocated.select(stratum, "alloc")), stratum).where("k <= alloc").drop("k", "alloc")
+    return rows.withColumn("k", F.row_number().over(order)).join(allocated.select(stratum, "alloc"), stratum).where("k <= alloc").drop("k", "alloc")
 
 
 def pick_k(rows: DataFrame, stratum: str, key: str, k: int, seed: int = 42) -> DataFrame:

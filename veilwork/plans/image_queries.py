@@ -127,10 +127,10 @@ def crop_window(table, spark):
     return table("embeddings").select("vec_id", F.transform(rows, lambda r: F.floor(F.aggregate(r, F.lit(0.0), lambda s, x: s + x.cast("double")) * 1e6).cast("long")).alias("rows_sum"))
 
 
-@query("select vec_id // 4 as img, vec_id % 4 as ch, case vec_id % 4 when 0 then 2 when 2 then 0 else vec_id % 4 end::bigint as swapped from embeddings where vec_id % 4 <> 3")
+@query("select vec_id // 4 as img, vec_id % 4 as ch, case vec_id % 4 when 0 then 2 when 2 then 0 else vec_id % 4 end::bigint as swapped from embeddings")
 def channel_swap(table, spark):
     ch = F.col("vec_id") % 4
-    return table("embeddings").where(ch != 3).select(F.floor(F.col("vec_id") / 4).cast("long").alias("img"), ch.alias("ch"), F.when(ch == 0, 2).when(ch == 2, 0).otherwise(ch).cast("long").alias("swapped"))
+    return table("embeddings").select(F.floor(F.col("vec_id") / 4).cast("long").alias("img"), ch.alias("ch"), F.when(ch == 0, 2).when(ch == 2, 0).otherwise(ch).cast("long").alias("swapped"))
 
 
 @query("select vec_id, 'removal' as task, vec_id as a, vec_id + 1 as b from embeddings union all select vec_id, 'synthesis', vec_id + 1, vec_id from embeddings union all select vec_id, 'decomposition', vec_id, vec_id + 2 from embeddings")
