@@ -55,7 +55,8 @@ def fit(docs: DataFrame, held_out: int = 2, rows_per_language: int = 240, most_l
     room = F.greatest(F.char_length("low") - size + 1, F.lit(1))
     places = [F.substring(low, (F.pmod(F.xxhash64("doc_id", F.lit(k)), room) + 1).cast("int"), size) for k in range(slices)]
     share = F.least(F.lit(most_chars), F.greatest(F.floor(F.lit(dictionary_bytes) / F.col("rows")), F.lit(64)))
-    rows = known.join(ids, ["lang", "doc_id"]).withColumns({"low": F.lower("text"), "size": F.ceil(share / slices).cast("int")})
+    # the sample's ids, at most rows_per_language of each language, so that no text is shuffled
+    rows = known.join(F.broadcast(ids), ["lang", "doc_id"]).withColumns({"low": F.lower("text"), "size": F.ceil(share / slices).cast("int")})
     taken = F.when(F.char_length("low") <= size * slices, F.array("low")).otherwise(F.array(*places))
     out: dict[str, list[bytes]] = {}
     for lang, _, parts in sorted((tuple(r) for r in rows.select("lang", "doc_id", taken).collect()), key=lambda r: (r[0], r[1], r[2])):
