@@ -32,9 +32,8 @@ def test_pairs_of_a_template_are_linear(spark):
         rows = [(k, x) for k, x in enumerate(template(n, 8))]
         docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"rid": F.col("doc_id"), "rid2": F.lit(0)})
         lines = line_dedup._lines(docs, 24)
-        firsts = lines.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "rid", "rid2", "no")).alias("first"), F.count("*").alias("n"))
         shared = line_dedup._shared(line_dedup._keys(lines))
-        texts = line_dedup._texts(docs, firsts, shared.select("h1").distinct())
+        texts = line_dedup._texts(lines, shared)
         counts.append(line_dedup._candidates(shared, texts, 1, 16).count())
         common.release()
     assert counts[2] <= 4 * 2000 and counts[2] < 4 * counts[1]  # all pairs of a quarter's lists would be about 200,000

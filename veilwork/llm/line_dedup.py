@@ -20,7 +20,7 @@ all but k of 16 pieces of the one line stand in the other, shifted by at most k,
 banded bit-parallel edit distance (a word of 2k+1 bits, one step per character). No line text is shuffled except with its document, and that of lines in lists.
 
 A line that makes up over a thousandth of all lines is hot; there are less than a thousand such, so they are broadcast,
-give keys at their first occurrence only, and their occurrences are told without a shuffle. Documents are known by
+give keys at their first occurrence only, and their occurrences are told by that broadcast. Documents are known by
 128 bits of doc_id and text.
 
 Cases: a null text stays null and has no lines; an empty text has one (empty) line. Lines shorter than both bounds always
@@ -237,6 +237,7 @@ def _near(a: Column, b: Column, q: Column, most: int = 1) -> Column:
 
 
 HOT = 1000
+FILTER = 1 << 24  # bits of the bitmap of line hashes
 
 
 def dedup_lines(docs: DataFrame, carry: list[str] | None = None, min_chars: int = 24, most: int = 1, exact_chars: int | None = None, short: int = 16) -> DataFrame:
@@ -252,9 +253,10 @@ def dedup_lines(docs: DataFrame, carry: list[str] | None = None, min_chars: int
     is_hot = F.col("n") * HOT > F.lit(total)  # less than HOT lines
     hot = F.broadcast(firsts.where(is_hot).select("h1", "h2", F.col("first").alias("hot_first")))
 
-    once = lines.where(F.char_length("line") >= min_chars).join(hot, ["h1", "h2"], "left").where(F.col("hot_first").isNull() | (place == F.col("hot_first")))
+    long = lines.where(F.char_length("line") >= min_chars)
+    once = long.join(hot, ["h1", "h2"], "left").where(F.col("hot_first").isNull() | (place == F.col("hot_first")))
     shared = stored(_shared(_keys(once, most)))
-    texts = cut(_texts(rows, firsts, shared.select("h1").distinct()))
+    texts = cut(_texts(long, shared))
     pairs = _candidates(shared, texts, most, short)
     near = _near_lines(pairs, texts, most)
 
@@ -263,11 +265,14 @@ def dedup_lines(docs: DataFrame, carry: list[str] | None = None, min_chars: int
     hot_gone = F.broadcast(gone.where(is_hot).select("h1", "h2", F.col("first").alias("hot_first"), F.col("near").alias("hot_near")))
     told = lines.drop("line").join(hot_gone, ["h1", "h2"], "left")
     known = F.col("hot_first").isNotNull()
-    told = told.withColumn("k", F.when(known, F.xxhash64("rid", "rid2", "no")).otherwise(apart("h1")))  # what is told already goes anywhere
-    cold = gone.where(~is_hot).select(apart("h1").alias("k"), "h2", "first", "near")
-    drops = told.join(cold, ["k", "h2"], "left").select(
-        "rid", "rid2", "no", F.when(known, F.col("hot_near") | (place != F.col("hot_first"))).otherwise(F.col("near") | (place != F.col("first"))).alias("goes")
+    told = told.select(
+        "rid", "rid2", "no", "h2",
+        F.when(known, F.xxhash64("rid", "rid2", "no")).otherwise(apart("h1")).alias("k"),  # what is told already goes anywhere
+        F.when(known, F.col("hot_near") | (place != F.col("hot_first"))).alias("told"),
     )
+    cold = gone.where(~is_hot).select(apart("h1").alias("k"), "h2", F.struct("first.rid", "first.rid2", "first.no").alias("first"), "near")
+    later = F.col("near") | (F.struct("rid", "rid2", "no") != F.col("first"))  # rid and rid2 stand for doc_id too
+    drops = told.join(cold, ["k", "h2"], "left").select("rid", "rid2", "no", F.coalesce("told", later).alias("goes"))
     drops = drops.where("goes").groupBy("rid", "rid2").agg(F.collect_set("no").alias("gone"))
 
     joined = rows.join(drops, ["rid", "rid2"], "left")
@@ -277,15 +282,19 @@ def dedup_lines(docs: DataFrame, carry: list[str] | None = None, min_chars: int
     return joined.select("doc_id", kept.alias("text"), *carry, F.greatest(F.size(parts), F.lit(0)).cast("long").alias("n_lines"), F.greatest(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"))
 
 
-def _texts(rows: DataFrame, firsts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """h1, h2, first, line of the wanted lines (column h1), read again from their first documents."""
-    places = firsts.join(wanted, "h1", "left_semi").groupBy(F.col("first.rid").alias("rid"), F.col("first.rid2").alias("rid2"))
-    places = places.agg(F.collect_set(F.struct("h1", "h2", "first")).alias("wanted"))
-    # doc_id is compared, and so read, here too, so that this join and the last one use one exchange of the texts
-    met = rows.join(places, ["rid", "rid2"]).where(F.coalesce("doc_id", F.lit(-1)) == F.coalesce(F.get("wanted", F.lit(0))["first"]["doc_id"], F.lit(-1)))
-    line = lambda x: F.transform(x["wanted"], lambda w: F.struct(w["h1"].alias("h1"), w["h2"].alias("h2"), w["first"].alias("first"), F.trim(F.get(x["parts"], w["first"]["no"])).alias("line")))
-    found = _let(F.struct(F.split("text", "\n").alias("parts"), F.col("wanted").alias("wanted")), line)
-    return met.select(F.explode(found).alias("w")).select("w.*").distinct()
+def _texts(lines: DataFrame, shared: DataFrame) -> DataFrame:
+    """h1, h2, first, line of the lines in lists (column h1 of shared).
+
+    A bitmap of their hashes, in at most FILTER / 64 broadcast words, holds back most other lines before the exchange; a
+    join tells the rest.
+    """
+    word = lambda h: F.shiftright(h.bitwiseAND(F.lit(FILTER - 1)), 6)
+    bit = lambda h: h.bitwiseAND(F.lit(63)).cast("int")
+    wanted = shared.select("h1").distinct()
+    words = wanted.groupBy(word(F.col("h1")).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(h1 & 63 as int))")).alias("bits"))
+    met = lines.withColumn("word", word(F.col("h1"))).join(F.broadcast(words), "word").where(F.getbit("bits", bit(F.col("h1"))) == 1)
+    found = met.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "rid", "rid2", "no", "line")).alias("f")).join(wanted, "h1", "left_semi")
+    return found.select("h1", "h2", F.struct("f.doc_id", "f.rid", "f.rid2", "f.no").alias("first"), F.col("f.line").alias("line"))
 
 
 def _candidates(shared: DataFrame, texts: DataFrame, most: int, short: int) -> DataFrame:
