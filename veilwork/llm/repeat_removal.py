@@ -143,21 +143,21 @@ def _names(length: int):
     return run
 
 
-STRETCH = "h long, hot boolean, c1 long, c2 long, r1 long, r2 long, starts array<long>, sure boolean, stretch binary"
+STRETCH = "h long, c1 long, c2 long, r1 long, r2 long, starts array<long>, sure boolean, stretch binary"
 
 
 def _stretches(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list] = []  # r1, r2, text, names, hot names, whether it occurs again
+        held: list[list] = []  # r1, r2, text, names, whether it occurs again
 
         def rows(texts: list[list]) -> pa.RecordBatch:
             pieces = Pieces(length)
             for k, x in enumerate(texts):
                 pieces.add(k, x[2])
             joined, piece, name, first, last, start = pieces.sample()
-            cold, hot = (np.unique(np.concatenate([np.array(x[k], np.int64) for x in texts])) for k in (3, 4))
+            known = np.unique(np.concatenate([np.array(x[3], np.int64) for x in texts]))
             raw, found = joined.tobytes(), {}
-            for k in np.flatnonzero(np.isin(name, cold) | np.isin(name, hot)).tolist():
+            for k in np.flatnonzero(np.isin(name, known)).tolist():
                 p = piece[k]
                 a, b = int(first[k]), int(last[k])
                 found.setdefault((pieces.owner[p], int(name[k]), raw[a : b + length]), []).append(a - int(start[p]) + pieces.base[p])
@@ -165,12 +165,11 @@ def _stretches(length: int):
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array(h, pa.int64()),
-                    pa.array(np.isin(np.array(h, np.int64), hot)),
                     *(pa.array([x[c] for x in map(two_hashes, stretch)], pa.int64()) for c in (0, 1)),
                     pa.array([texts[k][0] for k in owner], pa.int64()),
                     pa.array([texts[k][1] for k in owner], pa.int64()),
                     pa.array(list(found.values()), pa.list_(pa.int64())),
-                    pa.array([texts[k][5] or len(v) > 1 for k, v in zip(owner, found.values())], pa.bool_()),
+                    pa.array([texts[k][4] or len(v) > 1 for k, v in zip(owner, found.values())], pa.bool_()),
                     pa.array(stretch, pa.binary()),
                 ],
                 [x.split()[0] for x in STRETCH.split(", ")],
@@ -178,13 +177,13 @@ def _stretches(length: int):
 
         size, last = 0, None
         for batch in batches:
-            for r1, r2, text, cold, hot, copies in zip(*(batch.column(k).to_pylist() for k in (0, 1)), *(batch.column(k) for k in (2, 3, 4)), batch.column(5).to_pylist()):
-                if last == (last := (r1, r2)):
+            for r1, r2, text, names, copies in zip(*(batch.column(k).to_pylist() for k in (0, 1)), *(batch.column(k) for k in (2, 3)), batch.column(4).to_pylist()):
+                if last == (last := (r1, r2)) or not len(names):
                     continue
                 if size >= PIECE:
                     yield rows(held)
                     held, size = [], 0
-                held.append([r1, r2, text.as_py(), cold.as_py(), hot.as_py(), copies > 1])
+                held.append([r1, r2, text.as_py(), names.as_py(), copies > 1])
                 size += len(held[-1][2])
         if held:
             yield rows(held)
@@ -334,10 +333,11 @@ def remove_repeats(docs: DataFrame, length: int = 200, carry: list[str] | None =
     wanted = once.groupBy("r1", "r2").agg(of(False).alias("cold"), of(True).alias("hot"), F.max("copies").alias("copies"))
     keyed = rows.withColumn("k1", apart("r1"))  # one exchange of the texts for both joins
     texts = keyed.join(wanted.select(apart("r1").alias("k1"), "r2", "cold", "hot", "copies"), ["k1", "r2"])
-    texts = texts.sortWithinPartitions("r1", "r2").select("r1", "r2", "data", "cold", "hot", "copies", "doc_id", *carry)
-    stretches = stored(texts.mapInArrow(_stretches(length), STRETCH))
-    cold = stretches.where("not hot").select("h", "r1", "r2", "starts", "sure", "stretch")
-    found = cold.repartition("h").sortWithinPartitions("h").mapInArrow(_repeats(length), RANGE).union(hot_repeats(stretches.where("hot"), length))
+    texts = texts.sortWithinPartitions("r1", "r2")
+    # not stored: made again for each use from the one exchange of the texts, which the last join uses too
+    cold, frequent = (texts.select("r1", "r2", "data", names, "copies", "doc_id", *carry).mapInArrow(_stretches(length), STRETCH) for names in ("cold", "hot"))
+    cold = cold.select("h", "r1", "r2", "starts", "sure", "stretch")
+    found = cold.repartition("h").sortWithinPartitions("h").mapInArrow(_repeats(length), RANGE).union(hot_repeats(frequent, length))
     ranges = found.distinct().groupBy("r1", "r2").agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
     joined = keyed.join(ranges.select(apart("r1").alias("k1"), "r2", "ranges"), ["k1", "r2"], "left").select("doc_id", *carry, "data", "ranges")
     kinds = {f.name: f.dataType.simpleString() for f in joined.schema.fields}
