@@ -82,6 +82,19 @@ def apart(column: str) -> Column:
     return F.col(column).bitwiseXOR(F.lit(1))
 
 
+FILTER = 1 << 24  # bits
+
+
+def maybe_in(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
+    """Rows without most of those whose 64-bit hash is not among the wanted ones (the same column there), by a bitmap in
+    at most FILTER / 64 broadcast words (4 MB); a join is to tell the rest."""
+    word = F.shiftright(F.col(column).bitwiseAND(F.lit(FILTER - 1)), 6)
+    bits = F.bit_or(F.expr(f"shiftleft(1L, cast({column} & 63 as int))"))
+    words = wanted.groupBy(word.alias("_word")).agg(bits.alias("_bits"))
+    met = rows.withColumn("_word", word).join(F.broadcast(words), "_word")
+    return met.where(F.getbit("_bits", F.col(column).bitwiseAND(F.lit(63)).cast("int")) == 1).drop("_word", "_bits")
+
+
 def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The smallest member of each of n items' component under the links a[i]-b[i]."""
     root = np.arange(n, dtype=np.int64)

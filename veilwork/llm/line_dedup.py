@@ -36,7 +36,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from veilwork.llm.common import apart, cut, documents, stored
+from veilwork.llm.common import apart, cut, documents, maybe_in, stored
 
 QUARTERS = 4
 
@@ -237,7 +237,6 @@ def _near(a: Column, b: Column, q: Column, most: int = 1) -> Column:
 
 
 HOT = 1000
-FILTER = 1 << 24  # bits of the bitmap of line hashes
 
 
 def dedup_lines(docs: DataFrame, carry: list[str] | None = None, min_chars: int = 24, most: int = 1, exact_chars: int | None = None, short: int = 16) -> DataFrame:
@@ -285,14 +284,10 @@ def dedup_lines(docs: DataFrame, carry: list[str] | None = None, min_chars: int
 def _texts(lines: DataFrame, shared: DataFrame) -> DataFrame:
     """h1, h2, first, line of the lines in lists (column h1 of shared).
 
-    A bitmap of their hashes, in at most FILTER / 64 broadcast words, holds back most other lines before the exchange; a
-    join tells the rest.
+    A bitmap of their hashes holds back most other lines before the exchange; a join tells the rest.
     """
-    word = lambda h: F.shiftright(h.bitwiseAND(F.lit(FILTER - 1)), 6)
-    bit = lambda h: h.bitwiseAND(F.lit(63)).cast("int")
     wanted = shared.select("h1").distinct()
-    words = wanted.groupBy(word(F.col("h1")).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(h1 & 63 as int))")).alias("bits"))
-    met = lines.withColumn("word", word(F.col("h1"))).join(F.broadcast(words), "word").where(F.getbit("bits", bit(F.col("h1"))) == 1)
+    met = maybe_in(lines, "h1", wanted)
     found = met.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "rid", "rid2", "no", "line")).alias("f")).join(wanted, "h1", "left_semi")
     return found.select("h1", "h2", F.struct("f.doc_id", "f.rid", "f.rid2", "f.no").alias("first"), F.col("f.line").alias("line"))
 

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilwork.llm.common import apart, blocks, documents, kept, stored, text_batches
+from veilwork.llm.common import apart, blocks, documents, kept, maybe_in, stored, text_batches
 
 GRAM = 32
 PIECE = 1 << 18
@@ -330,12 +330,16 @@ def remove_repeats(docs: DataFrame, length: int = 200, carry: list[str] | None =
     # each text gives a name once, so a name's rows of one text are the copies of that text
     once = met.groupBy("r1", "r2", "h").agg(F.count("*").alias("copies"), F.first("n").alias("n"))
     of = lambda is_hot: F.collect_list(F.when((F.col("n") > hot) == F.lit(is_hot), F.col("h")))
-    wanted = once.groupBy("r1", "r2").agg(of(False).alias("cold"), of(True).alias("hot"), F.max("copies").alias("copies"))
-    keyed = rows.withColumn("k1", apart("r1"))  # one exchange of the texts for both joins
-    texts = keyed.join(wanted.select(apart("r1").alias("k1"), "r2", "cold", "hot", "copies"), ["k1", "r2"])
-    texts = texts.sortWithinPartitions("r1", "r2")
-    # not stored: made again for each use from the one exchange of the texts, which the last join uses too
-    cold, frequent = (texts.select("r1", "r2", "data", names, "copies", "doc_id", *carry).mapInArrow(_stretches(length), STRETCH) for names in ("cold", "hot"))
+    wanted = stored(once.groupBy("r1", "r2").agg(of(False).alias("cold"), of(True).alias("hot"), F.max("copies").alias("copies")))
+    keyed = rows.withColumn("k1", apart("r1"))  # one exchange of the texts for the cold names and the last join
+
+    def stretches(texts: DataFrame, known: DataFrame, names: str) -> DataFrame:
+        met = texts.join(known.select(apart("r1").alias("k1"), "r2", names, "copies"), ["k1", "r2"]).sortWithinPartitions("r1", "r2")
+        return met.select("r1", "r2", "data", names, "copies", "doc_id", *carry).mapInArrow(_stretches(length), STRETCH)
+
+    hot_texts = wanted.where(F.size("hot") > 0)
+    frequent = stored(stretches(maybe_in(keyed, "r1", hot_texts), hot_texts, "hot"))
+    cold = stretches(keyed, wanted, "cold")
     cold = cold.select("h", "r1", "r2", "starts", "sure", "stretch")
     found = cold.repartition("h").sortWithinPartitions("h").mapInArrow(_repeats(length), RANGE).union(hot_repeats(frequent, length))
     ranges = found.distinct().groupBy("r1", "r2").agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
