@@ -334,8 +334,9 @@ def remove_repeats(docs: DataFrame, length: int = 200, carry: list[str] | None =
     keyed = rows.withColumn("k1", apart("r1"))  # one exchange of the texts for the cold names and the last join
 
     def stretches(texts: DataFrame, known: DataFrame, names: str) -> DataFrame:
-        met = texts.join(known.select(apart("r1").alias("k1"), "r2", names, "copies"), ["k1", "r2"]).sortWithinPartitions("r1", "r2")
-        return met.select("r1", "r2", "data", names, "copies", "doc_id", *carry).mapInArrow(_stretches(length), STRETCH)
+        met = texts.join(known.select(apart("r1").alias("k1"), "r2", names, "copies"), ["k1", "r2"]).sortWithinPartitions("k1", "r2")
+        # r1 is told from k1, so that the last join reads the same columns, and so the same exchange
+        return met.select(apart("k1").alias("r1"), "r2", "data", names, "copies", "doc_id", *carry).mapInArrow(_stretches(length), STRETCH)
 
     hot_texts = wanted.where(F.size("hot") > 0)
     frequent = stored(stretches(maybe_in(keyed, "r1", hot_texts), hot_texts, "hot"))
