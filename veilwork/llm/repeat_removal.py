@@ -14,7 +14,8 @@ k-gram is sampled, the first of equals. Equal windows sample equal places, and o
    equal to one next to it, or given with a number over one, is a repeat.
 4. Stretches of a hot name (more than `hot` occurrences) don't meet in one task. Equal ones are counted by two 64-bit
    hashes with partial sums; all windows of a stretch that occurs again are repeats. The windows of each different
-   stretch are counted in the same way, by their hashes, and joined with those that occur again.
+   stretch go in blocks of STEP, by distance from the sampled position. Blocks are counted in the same way by all that
+   their windows cover, and by what those have in common; only where neither tells are windows counted one by one.
 5. Repeats go back to their texts as byte ranges, which are merged and cut out.
 
 All joins on names, windows and texts have keys that adaptive execution can split.
@@ -41,6 +42,7 @@ from veilwork.llm.common import apart, blocks, documents, kept, maybe_in, stored
 
 GRAM = 32
 PIECE = 1 << 18
+STEP = 16
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 MIX = np.uint64(0xFF51AFD7ED558CCD)
 HIGH = np.uint64(0xFFFFFFFF00000000)
@@ -241,11 +243,12 @@ def _repeats(length: int):
     return run
 
 
-WINDOW = "c1 long, c2 long, k int, w1 long, w2 long, again boolean"
+BLOCK = "c1 long, c2 long, again boolean, first int, g1 long, g2 long, e1 long, e2 long, hull binary"
 
 
-def _windows(length: int):
-    """Of each stretch (c1, c2, again, stretch) its windows' places and hashes."""
+def _blocks(length: int):
+    """Of each stretch (c1, c2, again, stretch) its windows in blocks of STEP, told by their distance from the sampled
+    position: where the block begins, hash and bytes of all that its windows cover, hash of what they have in common."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -253,14 +256,47 @@ def _windows(length: int):
                 part = batch.slice(low, 512)
                 stretches = part.column(3).to_pylist()
                 sizes = np.array([len(x) for x in stretches], np.int64)
+                start = np.cumsum(sizes) - sizes
+                names = string_hashes(np.frombuffer(b"".join(stretches), np.uint8), GRAM)
+                marked = (names & HIGH) | np.arange(len(names), dtype=np.uint64)
+                own = np.c_[start, start + sizes - GRAM + 1].reshape(-1)[:-1]  # the grams of each stretch, by turns with those over an end
+                sampled = (np.minimum.reduceat(marked, own)[::2] & LOW).astype(np.int64) - start
+                of, rows = [], []
+                for k, (stretch, at) in enumerate(zip(stretches, sampled.tolist())):
+                    least = at - len(stretch) + length  # the distance of the last window
+                    for near in range(least - least % STEP, at + 1, STEP):
+                        far = near + STEP - 1
+                        first, last = at - min(at, far), at - max(least, near)
+                        hull = stretch[first : last + length]
+                        of.append(k)
+                        rows.append((first, *two_hashes(hull), *two_hashes(stretch[at - near : at - far + length]), hull))
+                kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+                told = [*part.columns[:3], *(pa.array(x, t) for x, t in zip(zip(*rows), kinds))]
+                yield pa.RecordBatch.from_arrays([x.take(pa.array(of)) for x in told[:3]] + told[3:], [x.split()[0] for x in BLOCK.split(", ")])
+
+    return run
+
+
+WINDOW = "g1 long, g2 long, k int, w1 long, w2 long, again boolean"
+
+
+def _windows(length: int):
+    """Of each block (g1, g2, again, hull) its windows' places and hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, batch.num_rows, 512):
+                part = batch.slice(low, 512)
+                hulls = part.column(3).to_pylist()
+                sizes = np.array([len(x) for x in hulls], np.int64)
                 windows = sizes - length + 1
-                of = np.repeat(np.arange(len(stretches)), windows)
+                of = np.repeat(np.arange(len(hulls)), windows)
                 inside = np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows, windows)
-                data = np.frombuffer(b"".join(stretches), np.uint8)
+                data = np.frombuffer(b"".join(hulls), np.uint8)
                 at = (np.cumsum(sizes) - sizes)[of] + inside
-                c1, c2, again = (part.column(c).to_numpy(zero_copy_only=False)[of] for c in (0, 1, 2))
+                g1, g2, again = (part.column(c).to_numpy(zero_copy_only=False)[of] for c in (0, 1, 2))
                 w1, w2 = (string_hashes(data, length, base)[at].view(np.int64) for base in BASES)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (c1, c2, inside.astype(np.int32), w1, w2, again)], [x.split()[0] for x in WINDOW.split(", ")])
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (g1, g2, inside.astype(np.int32), w1, w2, again)], [x.split()[0] for x in WINDOW.split(", ")])
 
     return run
 
@@ -287,17 +323,29 @@ RANGE = "r1 long, r2 long, low long, high long"
 
 
 def hot_repeats(stretches: DataFrame, length: int) -> DataFrame:
-    """Ranges of repeats in stretches of hot names: counted by hashes, never gathered by name."""
+    """Ranges of repeats in stretches of hot names: counted by hashes, never gathered by name.
+
+    Equal blocks of different stretches are repeats as a whole. A block whose common part is no other block's has none.
+    Only the windows of the rest, where repeats begin or end, are counted one by one.
+    """
+    pair = lambda a, b: (apart(a).alias("k1"), F.col(b).alias("k2"))
     classes = stretches.groupBy("c1", "c2").agg((F.max("sure") | (F.count("*") > 1)).alias("again"), F.first("stretch").alias("stretch"))
-    windows = classes.select("c1", "c2", "again", "stretch").mapInArrow(_windows(length), WINDOW)
+    blocks = classes.select("c1", "c2", "again", "stretch").mapInArrow(_blocks(length), BLOCK)
+    hulls = blocks.groupBy("g1", "g2").agg((F.max("again") | (F.count("*") > 1)).alias("again"), F.first("e1").alias("e1"), F.first("e2").alias("e2"), F.first("hull").alias("hull"))
+    shared = hulls.groupBy("e1", "e2").agg(F.count("*").alias("n"), F.min("again").alias("told")).where("n > 1 and not told")
+    split = hulls.select("g1", "g2", "again", "hull", *pair("e1", "e2")).join(shared.select(*pair("e1", "e2")), ["k1", "k2"])
+    windows = split.select("g1", "g2", "again", "hull").mapInArrow(_windows(length), WINDOW)
     counted = windows.groupBy("w1", "w2").agg(F.count("*").alias("n"), F.max("again").alias("again")).where("n > 1 or again")
-    known = counted.select(apart("w1").alias("k1"), F.col("w2").alias("k2"))
-    own = windows.where("not again").select("c1", "c2", "k", apart("w1").alias("k1"), F.col("w2").alias("k2"))
-    hit = own.join(known, ["k1", "k2"]).groupBy("c1", "c2").agg(F.array_sort(F.collect_list("k")).alias("windows"))
-    whole = classes.where("again").select("c1", "c2", F.sequence(F.lit(0), F.octet_length("stretch") - length).alias("windows"))
-    found = hit.union(whole).select(apart("c1").alias("k1"), F.col("c2").alias("k2"), "windows")
-    places = stretches.select("r1", "r2", "starts", apart("c1").alias("k1"), F.col("c2").alias("k2"))
-    return places.join(found, ["k1", "k2"]).select("r1", "r2", "starts", "windows").mapInArrow(_ranges(length), RANGE)
+    own = windows.where("not again").select("g1", "g2", "k", *pair("w1", "w2"))
+    hit = own.join(counted.select(*pair("w1", "w2")), ["k1", "k2"]).groupBy("g1", "g2").agg(F.collect_list("k").alias("windows"))
+    every = lambda data: F.sequence(F.lit(0), F.octet_length(data) - length)
+    told = hit.union(hulls.where("again").select("g1", "g2", every("hull")))
+    open_blocks = blocks.where("not again").select("c1", "c2", "first", *pair("g1", "g2"))
+    placed = open_blocks.join(told.select(*pair("g1", "g2"), "windows"), ["k1", "k2"]).select("c1", "c2", F.transform("windows", lambda k: k + F.col("first")).alias("windows"))
+    part = placed.groupBy("c1", "c2").agg(F.array_sort(F.flatten(F.collect_list("windows"))).alias("windows"))
+    found = part.union(classes.where("again").select("c1", "c2", every("stretch")))
+    places = stretches.select("r1", "r2", "starts", *pair("c1", "c2"))
+    return places.join(found.select(*pair("c1", "c2"), "windows"), ["k1", "k2"]).select("r1", "r2", "starts", "windows").mapInArrow(_ranges(length), RANGE)
 
 
 def cut(text: bytes, ranges: list[tuple[int, int]]) -> tuple[bytes, int]:
