@@ -329,9 +329,9 @@ def hot_repeats(stretches: DataFrame, length: int) -> DataFrame:
     Only the windows of the rest, where repeats begin or end, are counted one by one.
     """
     pair = lambda a, b: (apart(a).alias("k1"), F.col(b).alias("k2"))
-    classes = stretches.groupBy("c1", "c2").agg((F.max("sure") | (F.count("*") > 1)).alias("again"), F.first("stretch").alias("stretch"))
+    classes = stored(stretches.groupBy("c1", "c2").agg((F.max("sure") | (F.count("*") > 1)).alias("again"), F.first("stretch").alias("stretch")))
     blocks = classes.select("c1", "c2", "again", "stretch").mapInArrow(_blocks(length), BLOCK)
-    hulls = blocks.groupBy("g1", "g2").agg((F.max("again") | (F.count("*") > 1)).alias("again"), F.first("e1").alias("e1"), F.first("e2").alias("e2"), F.first("hull").alias("hull"))
+    hulls = stored(blocks.groupBy("g1", "g2").agg((F.max("again") | (F.count("*") > 1)).alias("again"), F.first("e1").alias("e1"), F.first("e2").alias("e2"), F.first("hull").alias("hull")))
     shared = hulls.groupBy("e1", "e2").agg(F.count("*").alias("n"), F.min("again").alias("told")).where("n > 1 and not told")
     split = hulls.select("g1", "g2", "again", "hull", *pair("e1", "e2")).join(shared.select(*pair("e1", "e2")), ["k1", "k2"])
     windows = split.select("g1", "g2", "again", "hull").mapInArrow(_windows(length), WINDOW)
