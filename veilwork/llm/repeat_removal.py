@@ -374,7 +374,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, carry: list[str] | None =
     rows = text_batches(docs).select("doc_id", data.alias("data"), *carry).withColumns({"r1": F.xxhash64("data"), "r2": F.xxhash64(F.lit(5), "data")})
     names = stored(rows.select("data", "r1", "r2").mapInArrow(_names(length), "h long, r1 long, r2 long, c long"))
     often = names.groupBy("h").agg(F.sum("c").alias("n")).where("n > 1").select(apart("h").alias("k"), "n")
-    met = names.select("h", "r1", "r2", apart("h").alias("k")).join(often, "k")
+    met = names.select(apart("h").alias("k"), "r1", "r2").join(often, "k").select(apart("k").alias("h"), "r1", "r2", "n")
     # each text gives a name once, so a name's rows of one text are the copies of that text
     once = met.groupBy("r1", "r2", "h").agg(F.count("*").alias("copies"), F.first("n").alias("n"))
     of = lambda is_hot: F.collect_list(F.when((F.col("n") > hot) == F.lit(is_hot), F.col("h")))
@@ -387,11 +387,11 @@ def remove_repeats(docs: DataFrame, length: int = 200, carry: list[str] | None =
         return met.select(apart("k1").alias("r1"), "r2", "data", names, "copies", "doc_id", *carry).mapInArrow(_stretches(length), STRETCH)
 
     hot_texts = wanted.where(F.size("hot") > 0)
-    frequent = stored(stretches(maybe_in(keyed, "r1", hot_texts), hot_texts, "hot"))
+    frequent = stored(stretches(maybe_in(keyed, "r1", hot_texts), hot_texts, "hot").drop("h"))
     cold = stretches(keyed, wanted, "cold")
     cold = cold.select("h", "r1", "r2", "starts", "sure", "stretch")
     found = cold.repartition("h").sortWithinPartitions("h").mapInArrow(_repeats(length), RANGE).union(hot_repeats(frequent, length))
-    ranges = found.distinct().groupBy("r1", "r2").agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
+    ranges = found.groupBy("r1", "r2").agg(F.collect_set(F.struct("low", "high")).alias("ranges"))
     joined = keyed.join(ranges.select(apart("r1").alias("k1"), "r2", "ranges"), ["k1", "r2"], "left").select("doc_id", *carry, "data", "ranges")
     kinds = {f.name: f.dataType.simpleString() for f in joined.schema.fields}
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in ["doc_id", *carry])
