@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__
 from veilwork.functions import atmosphere as at
 from veilwork.functions import text as t
-from veilwork.operators import kernels, samples
+from veilwork.operators import kernels, reports, samples
 from veilwork.operators.sampling import allocation
 from veilwork.plans import registry
 from veilwork.sources.image_files import ImageFiles
@@ -121,3 +121,8 @@ def test_query_against_sql(spark, duck, name):
 
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
+
+
+def test_gallery_image_names(spark):
+    cells = spark.createDataFrame([("d/a", None, 1, "gt", None)], "key string, title string, place int, field string, caption string")
+    assert ["images/d__a__gt" in reports.sections(cells).first()["html"], "images/d__a.gt" in reports.sections(cells, ".").first()["html"]] == [True, True]

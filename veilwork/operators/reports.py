@@ -21,14 +21,17 @@ def escaped(value: Column) -> Column:
     return value
 
 
-def image_name(key: Column, field: Column) -> Column:
+def image_name(key: Column, field: Column, between: str = "__") -> Column:
     """File of a gallery image: slashes of the key become two underscores."""
-    return F.concat(F.lit("images/"), F.replace(key, F.lit("/"), F.lit("__")), F.lit("__"), field)
+    return F.concat(F.lit("images/"), F.replace(key, F.lit("/"), F.lit("__")), F.lit(between), field)
 
 
-def sections(cells: DataFrame) -> DataFrame:
-    """key, html of cells (key, title, place, field, caption): a section per sample; a null field is an empty cell with its caption."""
-    image = F.concat(F.lit('<img loading="lazy" src="'), escaped(image_name(F.col("key"), F.col("field"))), F.lit('" alt="">'))
+def sections(cells: DataFrame, between: str = "__") -> DataFrame:
+    """key, html of cells (key, title, place, field, caption): a section per sample; a null field is an empty cell with its caption.
+
+    between: what image files have between key and field; `write_gallery` keeps to two underscores, members of shards have a dot.
+    """
+    image = F.concat(F.lit('<img loading="lazy" src="'), escaped(image_name(F.col("key"), F.col("field"), between)), F.lit('" alt="">'))
     cell = F.concat(F.lit("<figure>"), F.coalesce(image, F.lit("")), F.lit("<figcaption>"), escaped(F.coalesce("caption", F.lit(""))), F.lit("</figcaption></figure>"))
     rows = cells.groupBy("key").agg(F.min("title").alias("title"), F.array_sort(F.collect_list(F.struct("place", cell.alias("cell")))).alias("cells"))
     return rows.select("key", F.concat(F.lit("<section><h3>"), escaped(F.coalesce("title", "key")), F.lit("</h3>"), F.array_join(F.col("cells.cell"), ""), F.lit("</section>")).alias("html"))
