@@ -64,6 +64,18 @@ def stored(df: DataFrame) -> DataFrame:
     return df
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """`stored`, and made at once: plans that read it hold a leaf in place of the plan that made it.
+
+    The driver writes a plan's text anew with each adaptive stage, and a stored result's whole plan wherever it is read:
+    where stored results are made from each other this grows as a power of their number, to megabytes for each stage.
+    """
+    session, kept = df.sparkSession, stored(df)
+    kept.count()
+    rows = kept.select("*")._jdf.queryExecution().toRdd()  # the cached rows; lost parts are made again from their lineage
+    return DataFrame(session._jsparkSession.internalCreateDataFrame(rows, kept._jdf.schema(), False), session)
+
+
 def release() -> None:
     """Frees what operators have stored so far; results that were not read yet are made anew when read."""
     while _stored:

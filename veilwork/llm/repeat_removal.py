@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilwork.llm.common import apart, blocks, documents, kept, maybe_in, stored, text_batches
+from veilwork.llm.common import apart, blocks, documents, kept, maybe_in, settled, text_batches
 
 GRAM = 32
 PIECE = 1 << 18
@@ -329,9 +329,9 @@ def hot_repeats(stretches: DataFrame, length: int) -> DataFrame:
     Only the windows of the rest, where repeats begin or end, are counted one by one.
     """
     pair = lambda a, b: (apart(a).alias("k1"), F.col(b).alias("k2"))
-    classes = stored(stretches.groupBy("c1", "c2").agg((F.max("sure") | (F.count("*") > 1)).alias("again"), F.first("stretch").alias("stretch")))
+    classes = settled(stretches.groupBy("c1", "c2").agg((F.max("sure") | (F.count("*") > 1)).alias("again"), F.first("stretch").alias("stretch")))
     blocks = classes.select("c1", "c2", "again", "stretch").mapInArrow(_blocks(length), BLOCK)
-    hulls = stored(blocks.groupBy("g1", "g2").agg((F.max("again") | (F.count("*") > 1)).alias("again"), F.first("e1").alias("e1"), F.first("e2").alias("e2"), F.first("hull").alias("hull")))
+    hulls = settled(blocks.groupBy("g1", "g2").agg((F.max("again") | (F.count("*") > 1)).alias("again"), F.first("e1").alias("e1"), F.first("e2").alias("e2"), F.first("hull").alias("hull")))
     shared = hulls.groupBy("e1", "e2").agg(F.count("*").alias("n"), F.min("again").alias("told")).where("n > 1 and not told")
     split = hulls.select("g1", "g2", "again", "hull", *pair("e1", "e2")).join(shared.select(*pair("e1", "e2")), ["k1", "k2"])
     windows = split.select("g1", "g2", "again", "hull").mapInArrow(_windows(length), WINDOW)
@@ -372,13 +372,13 @@ def remove_repeats(docs: DataFrame, length: int = 200, carry: list[str] | None =
     carry = [c for c in carry or [] if c not in ("doc_id", "text")]
     data = F.coalesce("text", F.lit("")).cast("binary")
     rows = text_batches(docs).select("doc_id", data.alias("data"), *carry).withColumns({"r1": F.xxhash64("data"), "r2": F.xxhash64(F.lit(5), "data")})
-    names = stored(rows.select("data", "r1", "r2").mapInArrow(_names(length), "h long, r1 long, r2 long, c long"))
+    names = settled(rows.select("data", "r1", "r2").mapInArrow(_names(length), "h long, r1 long, r2 long, c long"))
     often = names.groupBy("h").agg(F.sum("c").alias("n")).where("n > 1").select(apart("h").alias("k"), "n")
     met = names.select(apart("h").alias("k"), "r1", "r2").join(often, "k").select(apart("k").alias("h"), "r1", "r2", "n")
     # each text gives a name once, so a name's rows of one text are the copies of that text
     once = met.groupBy("r1", "r2", "h").agg(F.count("*").alias("copies"), F.first("n").alias("n"))
     of = lambda is_hot: F.collect_list(F.when((F.col("n") > hot) == F.lit(is_hot), F.col("h")))
-    wanted = stored(once.groupBy("r1", "r2").agg(of(False).alias("cold"), of(True).alias("hot"), F.max("copies").alias("copies")))
+    wanted = settled(once.groupBy("r1", "r2").agg(of(False).alias("cold"), of(True).alias("hot"), F.max("copies").alias("copies")))
     keyed = rows.withColumn("k1", apart("r1"))  # one exchange of the texts for the cold names and the last join
 
     def stretches(texts: DataFrame, known: DataFrame, names: str) -> DataFrame:
@@ -387,7 +387,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, carry: list[str] | None =
         return met.select(apart("k1").alias("r1"), "r2", "data", names, "copies", "doc_id", *carry).mapInArrow(_stretches(length), STRETCH)
 
     hot_texts = wanted.where(F.size("hot") > 0)
-    frequent = stored(stretches(maybe_in(keyed, "r1", hot_texts), hot_texts, "hot").drop("h"))
+    frequent = settled(stretches(maybe_in(keyed, "r1", hot_texts), hot_texts, "hot").drop("h"))
     cold = stretches(keyed, wanted, "cold")
     cold = cold.select("h", "r1", "r2", "starts", "sure", "stretch")
     found = cold.repartition("h").sortWithinPartitions("h").mapInArrow(_repeats(length), RANGE).union(hot_repeats(frequent, length))
